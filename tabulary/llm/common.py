@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..shipping import ship
+
 #: Text handled at once in a Python worker; a longer document is a slice of its own.
 SLICE_BYTES = 1 << 20
 
@@ -32,6 +34,12 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/tabulary-{uuid.uuid4().hex}"
 
 
+def map_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """``mapInArrow``, with this package at hand in the workers."""
+    ship(df.sparkSession)
+    return df.mapInArrow(run, schema)
+
+
 def materialize(df: DataFrame, label: str = "step") -> DataFrame:
     """Cut the lineage: write ``df`` as Parquet to the shared folder and read it back."""
     path = f"{shared_dir(df.sparkSession)}/{label}"

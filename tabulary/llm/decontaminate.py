@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ALNUM, materialize, slices, utf8, words
+from .common import ALNUM, map_arrow, materialize, slices, utf8, words
 
 #: The test windows are sent to all executors. Above this size they go in several rounds.
 MAX_QUERY_BYTES = 64 << 20
@@ -61,7 +61,7 @@ def build_index(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> Dat
                 names=["doc_ids", "firsts", "lasts", "terms", "heads", "postings", "nulls"],
             )
 
-    return docs.select(F.col(doc).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(run, _INDEX)
+    return map_arrow(docs.select(F.col(doc).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")), run, _INDEX)
 
 
 class Windows:
@@ -181,7 +181,7 @@ def search(index: DataFrame, benchmark: DataFrame, item: str = "item_id", text:
                         names=["doc_id", "item_id", "first", "n_words"],
                     )
 
-        found = index.mapInArrow(run, "doc_id long, item_id string, first long, n_words long")
+        found = map_arrow(index, run, "doc_id long, item_id string, first long, n_words long")
         out = found if out is None else out.unionByName(found)
     return out
 
@@ -216,7 +216,7 @@ def contamination(index: DataFrame, benchmark: DataFrame, item: str = "item_id",
                     names=["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"],
                 )
 
-    return index.mapInArrow(run, "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean")
+    return map_arrow(index, run, "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean")
 
 
 def _judge(row: dict, queries: Windows) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[list[str]], np.ndarray]:
@@ -262,7 +262,7 @@ def _many_rounds(index: DataFrame, rounds: list[Windows]) -> DataFrame:
                         names=["doc_id", "n_words", "hits", "items", "block", "place"],
                     )
 
-        found = numbered.mapInArrow(run, "doc_id long, n_words long, hits array<array<int>>, items array<string>, block long, place int")
+        found = map_arrow(numbered, run, "doc_id long, n_words long, hits array<array<int>>, items array<string>, block long, place int")
         parts = found if parts is None else parts.unionByName(found)
     joined = parts.groupBy("block", "place", "doc_id", "n_words").agg(
         F.array_sort(F.flatten(F.collect_list("hits"))).alias("hits"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items")

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, decontaminate, mixing, url_filter
-from .common import materialize, table
+from . import chat_format, decontaminate, language_id, mixing, quality, token_store, url_filter
+from .common import is_member, materialize, table
 
 URL_RULES = [
     ("com", "/", "allow"),
@@ -17,10 +18,31 @@ URL_RULES = [
 ]
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = is_member("doc_id", 5, 0)
+    labels = table(spark, sf_dir, "labels").select("doc_id", "quality").where(~held_out)
+    network = quality.fit(docs.where(~held_out), labels)
+    scored = quality.score(docs, network)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op5_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_rows(docs)
+
+
+def token_rows(docs: DataFrame) -> DataFrame:
+    """Write the documents' ids, then look every document up and read its record back."""
+    store = token_store.write(docs, public_tokenizers.path("byte_bpe_50k.json"), vocabulary=50_257)
+    found = token_store.locate(docs.select("doc_id").distinct(), store)
+    return token_store.fetch(found, store).unionByName(token_store.unkeyed(docs.sparkSession, store))
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = materialize(decontaminate.build_index(table(spark, sf_dir, "documents")), "index")
     return decontaminate.contamination(index, table(spark, sf_dir, "benchmark"))
@@ -60,11 +82,21 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = is_member("doc_id", 3, 1)
+    profiles = language_id.fit(docs.where(~held_out))
+    return language_id.predict(docs, profiles).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 QUERIES = {
+    "op2_quality": op2_quality,
     "op3_url_filter": op3_url_filter,
+    "op5_token_store": op5_token_store,
     "op6_decontaminate": op6_decontaminate,
     "op8_chat_format": op8_chat_format,
     "op9_mixing": op9_mixing,
+    "op10_language_id": op10_language_id,
 }
 
 ORACLE_SQL = {

@@ -8,6 +8,8 @@ from collections.abc import Iterable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from .common import map_arrow
+
 #: Rules are sent to every executor, so their trie may not be larger than this when pickled.
 MAX_TRIE_BYTES = 128 << 20
 
@@ -108,4 +110,4 @@ def judge_urls(
                 names=[key, "host", "path", "rule", "verdict"],
             )
 
-    return picked.mapInArrow(run, f"`{key}` {key_type}, host string, path string, rule string, verdict string")
+    return map_arrow(picked, run, f"`{key}` {key_type}, host string, path string, rule string, verdict string")
