@@ -1,0 +1,276 @@
+"""Near duplicates by min-max hashing.
+
+A set's signature keeps both the smallest and the largest value under each
+permutation, so half as many permutations are evaluated as with minima alone.
+Bands of six values (three permutations) name the buckets in which documents
+meet; every link is confirmed on the full sets.
+
+Only one document of those with the same set takes part. What happens in a
+bucket is linear in its members:
+
+1. each member is compared with the bucket's pivot that it meets most often,
+   then with the other pivots where that left it in another component;
+2. what still lies apart in one bucket is compared in blocks of ``BLOCK``
+   documents, every pair of different components, so that no pair of a bucket
+   goes unseen, however large the bucket is.
+
+Pairs are made and judged inside a block; only confirmed links leave it.
+"""
+
+from __future__ import annotations
+
+import functools
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from .common import SPACED, map_arrow, materialize, mix64, partitions, slices, utf8, words
+
+#: A pair at 0.8 misses all bands with a chance of (1 - 0.8^6)^50 = 2.5e-7.
+BANDS, PERMUTATIONS_PER_BAND = 50, 3
+#: Documents compared in one task at once.
+BLOCK, FAN = 256, 64
+
+
+def shingle_sets(data: np.ndarray, at: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct shingle hashes of each text, one after the other, and where each text's begin.
+
+    A text of fewer words than ``width`` has its whole sequence as one shingle;
+    a text without words has none.
+    """
+    hashes, _, first = words(data, at, SPACED)
+    n = len(at) - 1
+    count = np.diff(first)
+    with np.errstate(over="ignore"):
+        acc = mix64(hashes[: max(0, len(hashes) - width + 1)] + np.uint64(width))
+        for j in range(1, width):
+            acc = mix64(acc * np.uint64(0x9E3779B97F4A7C15) + hashes[j : j + len(acc)])
+    sets = []
+    for d in range(n):
+        if count[d] >= width:
+            sets.append(np.unique(acc[first[d] : first[d + 1] - width + 1]))
+        elif count[d]:
+            with np.errstate(over="ignore"):
+                one = np.array([count[d]], np.uint64)
+                for h in hashes[first[d] : first[d + 1]]:
+                    one = mix64(one * np.uint64(0xC2B2AE3D27D4EB4F) + h)
+            sets.append(one)
+        else:
+            sets.append(np.zeros(0, np.uint64))
+    size = np.array([len(s) for s in sets], np.int64)
+    return np.concatenate(sets) if sets else np.zeros(0, np.uint64), np.concatenate([[0], np.cumsum(size)])
+
+
+@functools.cache
+def _permutations(n: int) -> tuple[np.ndarray, np.ndarray]:
+    rng = np.random.default_rng(20_24)
+    return rng.integers(0, 1 << 32, n, dtype=np.uint32), rng.integers(0, 1 << 31, n, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
+
+
+def min_max(sets: np.ndarray, bounds: np.ndarray, n: int) -> np.ndarray:
+    """Minima and maxima under ``n`` permutations: a row of 2n numbers for each (not empty) set."""
+    mask, odd = _permutations(n)
+    values = (sets >> np.uint64(32)).astype(np.uint32)
+    out = np.empty((len(bounds) - 1, 2 * n), np.uint32)
+    work = np.empty_like(values)
+    with np.errstate(over="ignore"):
+        for k in range(n):
+            np.bitwise_xor(values, mask[k], out=work)
+            np.multiply(work, odd[k], out=work)
+            out[:, 2 * k] = np.minimum.reduceat(work, bounds[:-1])
+            out[:, 2 * k + 1] = np.maximum.reduceat(work, bounds[:-1])
+    return out
+
+
+def band_keys(signature: np.ndarray, bands: int) -> np.ndarray:
+    """A 64-bit bucket name for each set and band; bands do not share names."""
+    rows = signature.reshape(len(signature), bands, -1).astype(np.uint64)
+    with np.errstate(over="ignore"):
+        key = np.broadcast_to(mix64(np.arange(1, bands + 1, dtype=np.uint64)), rows.shape[:2])
+        for r in range(rows.shape[2]):
+            key = mix64(key * np.uint64(0x9E3779B97F4A7C15) + rows[:, :, r])
+    return key.view(np.int64)
+
+
+def profiles(docs: DataFrame, width: int, bands: int = BANDS) -> DataFrame:
+    """``doc_id, n_shingles``, a 128-bit digest of the set (``d1, d2``) and its ``bands``, from (doc_id, text)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, data, at in slices(batches, "text"):
+            sets, bounds = shingle_sets(data, at, width)
+            size = np.diff(bounds)
+            some = np.flatnonzero(size)
+            d1, d2 = np.zeros(len(size), np.uint64), np.zeros(len(size), np.uint64)
+            keys = np.zeros((len(some), bands), np.int64)
+            if len(some):
+                own = np.append(bounds[some], len(sets))
+                with np.errstate(over="ignore"):
+                    d1[some] = np.add.reduceat(mix64(sets ^ np.uint64(0x8EBC6AF09C88C6E3)), own[:-1])
+                    d2[some] = np.add.reduceat(mix64(sets ^ np.uint64(0x589965CC75374CC3)), own[:-1])
+                keys = band_keys(min_max(sets, own, bands * PERMUTATIONS_PER_BAND), bands)
+            ends = np.cumsum(np.where(size > 0, bands, 0))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    part.column(0), pa.array(size, pa.int64()), pa.array(d1.view(np.int64)), pa.array(d2.view(np.int64)),
+                    pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), pa.array(keys.ravel())),
+                ],
+                names=["doc_id", "n_shingles", "d1", "d2", "bands"],
+            )
+
+    return map_arrow(docs, run, "doc_id long, n_shingles long, d1 long, d2 long, bands array<long>")
+
+
+def _overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> Iterator[tuple[int, np.ndarray]]:
+    """For each left set, the sizes of its intersections with all right sets."""
+    joined = np.concatenate(right) if right else np.zeros(0, np.uint64)
+    owner = np.repeat(np.arange(len(right)), [len(r) for r in right])
+    order = np.argsort(joined, kind="stable")
+    joined, owner = joined[order], owner[order]
+    for i, x in enumerate(left):
+        lo, hi = np.searchsorted(joined, x, "left"), np.searchsorted(joined, x, "right")
+        n = hi - lo
+        at = np.repeat(lo - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(int(n.sum()))
+        yield i, np.bincount(owner[at], minlength=len(right))
+
+
+def compare(groups: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links (``u > v``) among the texts of each group.
+
+    ``groups``: grp, sub, doc, label, side (1 left, 2 right, 3 both), text. Left
+    is compared with right wherever the labels differ. Rows of a group must
+    come together; a group is small.
+    """
+
+    def judge(rows: list[tuple]) -> list[tuple[int, int]]:
+        once = {(doc, side): (label, text) for doc, label, side, text in rows}
+        data, at = utf8(pa.array([t for _, t in once.values()], pa.large_string()))
+        sets, bounds = shingle_sets(data, at, width)
+        own = [sets[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
+        keys = list(once)
+        label = [x for x, _ in once.values()]
+        lefts = [i for i, k in enumerate(keys) if k[1] & 1]
+        rights = [i for i, k in enumerate(keys) if k[1] & 2]
+        sizes, docs, labels = (np.array(x) for x in ([len(own[j]) for j in rights], [keys[j][0] for j in rights], [label[j] for j in rights]))
+        out = []
+        for i, both in _overlaps([own[i] for i in lefts], [own[j] for j in rights]):
+            u, n = keys[lefts[i]][0], len(own[lefts[i]])
+            ok = (both > 0) & (100 * both >= percent * (n + sizes - both)) & (labels != label[lefts[i]])
+            out += [(max(u, int(v)), min(u, int(v))) for v in docs[ok]]
+        return out
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def done(rows):
+            links = sorted(set(judge(rows)))
+            return pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], names=["u", "v"])
+
+        now, rows = None, []
+        for batch in batches:
+            columns = [c.to_pylist() for c in batch.columns]
+            for grp, sub, *rest in zip(*columns):
+                if (grp, sub) != now and rows:
+                    yield done(rows)
+                    rows = []
+                now = grp, sub
+                rows.append(tuple(rest))
+        if rows:
+            yield done(rows)
+
+    dealt = groups.repartition(partitions(groups), "grp", "sub").sortWithinPartitions("grp", "sub")
+    return map_arrow(dealt.select("grp", "sub", "doc", "label", "side", "text"), run, "u long, v long")
+
+
+def components(links: DataFrame) -> DataFrame:
+    """``node, label``: the smallest node that each node of ``links`` (u, v) can reach.
+
+    Large-star and small-star steps in turn, until the links are stars. Each
+    step is a minimum per node and a join, never a list of neighbours.
+    """
+    now = materialize(links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct(), "links")
+    before = None
+    while True:
+        state = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).collect()[0]
+        if state == before or not state[0]:
+            return now.select(F.col("u").alias("node"), F.col("v").alias("label")).unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("label"))).groupBy("node").agg(F.min("label").alias("label"))
+        before = state
+        ways = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        least = ways.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+        large = ways.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        small = large.join(low, "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.*").where("u <> v").distinct()
+        now = materialize(small, "links")
+
+
+def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: int = BANDS, doc: str = "doc_id", text: str = "text") -> DataFrame:
+    """Per document: ``doc_id, n_shingles, component_id, kept``.
+
+    Texts are lower-cased (A-Z) and cut into words ``[^\\x20\\x09-\\x0D]+``; a
+    document is the set of its ``width``-word shingles. Documents are linked if
+    100 * |intersection| >= ``percent`` * |union|. ``component_id`` is the
+    smallest id that links reach; ``kept`` says that it is the document's own.
+
+    A null text or one without words has no shingles and no link. A row with a
+    null id is linked with nothing, has a null component, and is kept. Repeated
+    rows are in one component; ids that repeat with other texts are judged by
+    row. An empty table gives no rows. Other columns are ignored.
+    """
+    texts = docs.select(F.col(doc).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    known = materialize(profiles(texts, width, bands), "profiles")
+    keyed = known.where("doc_id is not null and n_shingles > 0")
+    classes = keyed.groupBy("d1", "d2", "n_shingles").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"))
+    classes = materialize(classes, "classes")
+    spread = classes.select("rep", "n_shingles", F.explode("bands").alias("key"))
+    shared = spread.groupBy("key").agg(F.count("*").alias("m")).where("m > 1")
+    met = materialize(spread.join(shared, "key"), "met")
+
+    pivots = met.groupBy("key").agg(F.min(F.struct("rep", "n_shingles")).alias("p"))
+    near = (F.col("n_shingles") * 100 >= F.col("p.n_shingles") * percent) & (F.col("p.n_shingles") * 100 >= F.col("n_shingles") * percent)
+    stars = materialize(
+        met.join(pivots, "key").where((F.col("rep") != F.col("p.rep")) & near).groupBy("rep", F.col("p.rep").alias("pivot")).agg(F.count("*").alias("times")), "stars"
+    )
+    ids = met.select(F.col("rep").alias("doc_id")).distinct()
+    used = materialize(texts.join(ids, "doc_id", "left_semi"), "texts")
+
+    def fanned(pairs: DataFrame) -> DataFrame:
+        """Links among (rep, pivot, left label, right label), FAN members a block."""
+        loads = pairs.groupBy("pivot").agg(F.ceil(F.count("*") / F.lit(FAN)).cast("int").alias("subs"), F.first("pivot_label").alias("pivot_label"))
+        members = pairs.join(loads.drop("pivot_label"), "pivot").select(F.col("pivot").alias("grp"), F.pmod(F.xxhash64("rep"), F.col("subs")).cast("int").alias("sub"), F.col("rep").alias("doc"), F.col("label"), F.lit(2).alias("side"))
+        heads = loads.select(F.col("pivot").alias("grp"), F.explode(F.sequence(F.lit(0), F.col("subs") - 1)).alias("sub"), F.col("pivot").alias("doc"), F.col("pivot_label").alias("label"), F.lit(1).alias("side"))
+        return compare(members.unionByName(heads).join(used, F.col("doc") == used["doc_id"]).drop("doc_id"), width, percent)
+
+    def labelled(df: DataFrame, labels: DataFrame, column: str, out: str) -> DataFrame:
+        got = labels.select(F.col("node").alias(column), F.col("label").alias(out))
+        return df.join(got, column, "left").withColumn(out, F.coalesce(out, column))
+
+    best = stars.groupBy("rep").agg(F.max_by("pivot", F.struct("times", -F.col("pivot"))).alias("pivot"))
+    links = materialize(fanned(best.withColumn("label", F.col("rep")).withColumn("pivot_label", F.col("pivot"))), "links")
+    labels = materialize(components(links), "labels")
+    open_ = labelled(labelled(stars.join(best, ["rep", "pivot"], "left_anti"), labels, "rep", "label"), labels, "pivot", "pivot_label").where("label <> pivot_label")
+    links = materialize(links.unionByName(fanned(open_)), "links")
+    labels = materialize(components(links), "labels")
+
+    # buckets whose members still lie in several components
+    members = materialize(labelled(met.select("key", "rep", "m"), labels, "rep", "label"), "members")
+    apart = members.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("key")
+    # a bucket of two was settled by its pivot
+    left = members.join(apart, "key").where("m > 2").withColumn("blocks", F.ceil(F.col("m") / F.lit(BLOCK)).cast("int"))
+    block = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
+    blocked = left.withColumn("block", block).select(
+        F.col("key").alias("grp"), F.col("rep").alias("doc"), "label", "block",
+        F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"),
+    )
+    placed = blocked.select(
+        "grp",
+        (F.least("block", "other") * 1_000_003 + F.greatest("block", "other")).alias("sub"),
+        "doc", "label",
+        F.when(F.col("block") == F.col("other"), 3).when(F.col("block") < F.col("other"), 1).otherwise(2).alias("side"),
+    )
+    rest = compare(placed.join(used, F.col("doc") == used["doc_id"]).drop("doc_id"), width, percent)
+    labels = components(links.unionByName(rest))
+
+    rows = known.select("doc_id", "n_shingles", "d1", "d2").join(classes.select("d1", "d2", "n_shingles", "rep"), ["d1", "d2", "n_shingles"], "left")
+    rows = rows.withColumn("rep", F.when(F.col("doc_id").isNotNull(), F.coalesce("rep", "doc_id")))
+    final = labelled(rows, labels, "rep", "component_id")
+    return final.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))

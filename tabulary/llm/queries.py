@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, decontaminate, language_id, mixing, quality, token_store, url_filter
+from . import chat_format, decontaminate, language_id, mixing, near_dup, quality, token_store, url_filter
 from .common import is_member, materialize, table
 
 URL_RULES = [
@@ -31,6 +31,10 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op4_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents"), width=2)
+
+
 def op5_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return token_rows(docs)
@@ -92,6 +96,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_quality": op2_quality,
     "op3_url_filter": op3_url_filter,
+    "op4_near_dup": op4_near_dup,
     "op5_token_store": op5_token_store,
     "op6_decontaminate": op6_decontaminate,
     "op8_chat_format": op8_chat_format,
