@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, decontaminate, language_id, mixing, near_dup, quality, token_store, url_filter
+from . import chat_format, decontaminate, fingerprint, language_id, mixing, near_dup, quality, token_store, url_filter
 from .common import is_member, materialize, table
 
 URL_RULES = [
@@ -52,6 +52,31 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(index, table(spark, sf_dir, "benchmark"))
 
 
+def op7_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    hashed = fingerprint.keyed(docs).withColumn("fingerprint", fingerprint.fingerprint(F.col("text")))
+    led = fingerprint.with_next(hashed, "text", "fingerprint")
+    third = F.floor(F.length("text") / F.lit(3)).cast("int")
+    edited = led.withColumn("edited", F.concat(F.substring("text", F.lit(1), F.length("text") - third), F.substring("next_text", F.lit(1), third)))
+    digests = edited.select(
+        "doc_id", "key",
+        F.length("text").cast("long").alias("n_chars"),
+        F.sha2(F.col("edited"), 256).alias("edited_sha256"),
+        "fingerprint",
+        fingerprint.fingerprint(F.col("edited")).alias("edited_fingerprint"),
+        "next_fingerprint",
+    )
+    digests = materialize(digests, "digests")
+    groups = fingerprint.exact_groups(docs, digests.select("key", "fingerprint"))
+    out = digests.join(groups.select("key", "fingerprint", "group_id"), ["key", "fingerprint"])
+    return out.select(
+        "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
+        fingerprint.likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
+        fingerprint.likeness(F.col("fingerprint"), F.col("next_fingerprint")).alias("near_next"),
+        "group_id",
+    )
+
+
 def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     odd = r"\### Assistant: </turn> ok"
     extra = spark.createDataFrame([(-7, 0, "user", odd), (-7, 1, "assistant", odd)], "conv_id long, turn long, role string, text string")
@@ -99,6 +124,7 @@ QUERIES = {
     "op4_near_dup": op4_near_dup,
     "op5_token_store": op5_token_store,
     "op6_decontaminate": op6_decontaminate,
+    "op7_fingerprint": op7_fingerprint,
     "op8_chat_format": op8_chat_format,
     "op9_mixing": op9_mixing,
     "op10_language_id": op10_language_id,
