@@ -43,7 +43,8 @@ def map_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[
 def materialize(df: DataFrame, label: str = "step") -> DataFrame:
     """Cut the lineage: write ``df`` as Parquet to the shared folder and read it back."""
     path = f"{shared_dir(df.sparkSession)}/{label}"
-    df.write.parquet(path)
+    # zstd: snappy's writer leaves native buffers behind in every task until the JVM collects garbage
+    df.write.option("compression", "zstd").parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._tabulary_path = path
     return out
