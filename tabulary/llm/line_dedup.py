@@ -1,0 +1,210 @@
+"""Line deduplication by winnowing over line hashes.
+
+A text is a sequence of lines; a line that holds several sentences is cut behind
+them, so that a passage need not begin and end where lines do. The hash of the
+lines that make up ``GRAM`` words from some line on is that place's gram. Of all
+grams that start within ``REACH`` words, the smallest is a fingerprint: two
+texts that share a run of ``GRAM + REACH`` words share one, whatever surrounds
+the run.
+
+Places whose fingerprints repeat are joined, and their matches are extended both
+ways, by the grams that lead forward and backward from every line around them.
+Each gram's first place (by document id, then position) stays; the others are
+repeats, and a run of repeated lines of ``min_words`` words is deleted. No two
+places are ever paired: a line that every document has costs one row for each.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from .common import SPACED, _powers, map_arrow, materialize, mix64, slices, words
+
+GRAM, REACH = 16, 24
+#: Bits of the map of repeated fingerprints that all executors get (8 MB). A full
+#: map lets more places through to the exact comparison, and changes no result.
+MAP_BITS = 1 << 26
+
+
+class Lines:
+    """Lines of the texts of a slice, as ranges of words."""
+
+    def __init__(self, data: np.ndarray, at: np.ndarray):
+        self.hashes, self.starts, self.first = words(data, at, SPACED)
+        space = np.flatnonzero((data[1:] == 0x20) & np.isin(data[:-1], np.frombuffer(b".!?", np.uint8))) + 2 if len(data) else np.zeros(0, np.int64)
+        cuts = np.unique(np.concatenate([at[:-1], space, np.flatnonzero(data == 0x0A) + 1]))
+        heads = np.searchsorted(self.starts, cuts)
+        self.head = np.unique(heads[heads < len(self.hashes)])  # first word of each line
+        self.tail = np.append(self.head[1:], len(self.hashes))  # word behind each line
+        self.text = np.searchsorted(self.first, self.head, "right") - 1
+        # the last line starting at a word belongs to the last text starting there
+        with np.errstate(over="ignore"):
+            up, self.down = _powers(max(1, len(self.hashes)))
+            self.sums = np.zeros(len(self.hashes) + 1, np.uint64)
+            np.cumsum(self.hashes * up[: len(self.hashes)], out=self.sums[1:])
+
+    def gram(self, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+        """Hash of the words from ``lo`` up to ``hi``."""
+        with np.errstate(over="ignore"):
+            return mix64((self.sums[hi] - self.sums[lo]) * self.down[lo] + (hi - lo).astype(np.uint64)).view(np.int64)
+
+    def forward(self, width: int) -> tuple[np.ndarray, np.ndarray]:
+        """Last line of the gram that starts at each line, and whether its text has enough words."""
+        line = np.searchsorted(self.tail, self.head + width)
+        end = self.first[self.text + 1]
+        ok = self.head + width <= end
+        return np.where(ok, np.minimum(line, len(self.tail) - 1), 0), ok
+
+    def backward(self, width: int) -> tuple[np.ndarray, np.ndarray]:
+        """First line of the gram that ends at each line."""
+        line = np.searchsorted(self.head, self.tail - width, "right") - 1
+        ok = self.tail - width >= self.first[self.text]
+        return np.where(ok, np.maximum(line, 0), 0), ok
+
+    def fingerprints(self) -> tuple[np.ndarray, np.ndarray]:
+        """Lines (sorted) whose gram is the smallest of some reach, and all lines' grams."""
+        n = len(self.head)
+        if not n:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        last, ok = self.forward(GRAM)
+        gram = np.where(ok, self.gram(self.head, np.maximum(self.tail[last], self.head)), np.iinfo(np.int64).max)
+        upto = np.minimum(np.searchsorted(self.head, self.head + REACH), np.searchsorted(self.text, self.text, "right"))
+        # minima over ranges of any length, from those over powers of two
+        level, best, step = [np.arange(n)], np.arange(n), 1
+        span = upto - np.arange(n)
+        while 2 * step <= span.max():
+            a = level[-1]
+            b = a[np.minimum(np.arange(n) + step, n - 1)]
+            level.append(np.where(gram[a] <= gram[b], a, b))
+            step *= 2
+        k = np.frexp(span)[1] - 1
+        for power, a in enumerate(level):
+            own = np.flatnonzero(k == power)
+            x, y = a[own], a[upto[own] - (1 << power)]
+            best[own] = np.where(gram[x] <= gram[y], x, y)
+        return np.unique(best[ok[best]]), gram
+
+
+def _fingerprint_rows(texts: DataFrame) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, data, at in slices(batches, "text"):
+            chosen, gram = Lines(data, at).fingerprints()
+            yield pa.RecordBatch.from_arrays([pa.array(gram[chosen], pa.int64())], names=["gram"])
+
+    return map_arrow(texts.select("text"), run, "gram long")
+
+
+def _repeat_map(texts: DataFrame) -> np.ndarray:
+    """Bit map of the fingerprints that occur more than once."""
+    repeated = _fingerprint_rows(texts).groupBy("gram").agg(F.count("*").alias("n")).where("n > 1")
+    bit = F.pmod(F.col("gram"), F.lit(MAP_BITS))
+    cells = repeated.groupBy(F.floor(bit / 64).cast("int").alias("cell")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), (bit % 64).cast("int"))).alias("bits"))
+    got = cells.toPandas()  # at most MAP_BITS / 64 rows
+    out = np.zeros(MAP_BITS // 64, np.int64)
+    out[got["cell"].to_numpy(np.int64)] = got["bits"].to_numpy(np.int64)
+    return out
+
+
+def repeated_grams(docs: DataFrame) -> DataFrame:
+    """``doc_id, version, lo, hi``: word ranges of ``docs`` (doc_id, text, version) that an earlier place has as well."""
+    shared = docs.sparkSession.sparkContext.broadcast(_repeat_map(docs))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = shared.value
+        for part, data, at in slices(batches, "text"):
+            lines = Lines(data, at)
+            chosen, gram = lines.fingerprints()
+            if len(chosen):
+                spot = gram[chosen] % MAP_BITS
+                chosen = chosen[(seen[spot >> 6].view(np.uint64) >> (spot & 63).astype(np.uint64)) & np.uint64(1) == 1]
+            if not len(chosen):
+                continue
+            # lines within reach of a place that repeats, either way
+            n = len(lines.head)
+            near = np.zeros(n + 1, np.int64)
+            np.add.at(near, np.searchsorted(lines.head, lines.head[chosen] - REACH - GRAM), 1)
+            np.subtract.at(near, np.searchsorted(lines.head, lines.head[chosen] + REACH + 2 * GRAM, "right"), 1)
+            near = np.cumsum(near)[:n] > 0
+            last, ok = lines.forward(GRAM)
+            f = np.flatnonzero(ok & near)
+            back, ok = lines.backward(GRAM)
+            b = np.flatnonzero(ok & near)
+            lo = np.concatenate([lines.head[f], lines.head[back[b]]])
+            hi = np.concatenate([lines.tail[last[f]], lines.tail[b]])
+            pair = np.unique(lo * (1 << 32) + hi)
+            lo, hi = pair >> 32, pair & 0xFFFFFFFF
+            text = np.searchsorted(lines.first, lo, "right") - 1
+            base = lines.first[text]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    part.column(0).take(pa.array(text)), part.column(1).take(pa.array(text)),
+                    pa.array(lines.gram(lo, hi)), pa.array((lo - base).astype(np.int32)), pa.array((hi - base).astype(np.int32)),
+                ],
+                names=["doc_id", "version", "gram", "lo", "hi"],
+            )
+
+    grams = materialize(map_arrow(docs.select("doc_id", "version", "text"), run, "doc_id long, version long, gram long, lo int, hi int"), "grams")
+    firsts = grams.groupBy("gram").agg(F.min(F.struct("doc_id", "version", "lo")).alias("own"), F.count("*").alias("n")).where("n > 1").drop("n")
+    return grams.join(firsts, "gram").where(F.struct("doc_id", "version", "lo") != F.col("own")).select("doc_id", "version", "lo", "hi")
+
+
+def _drop_runs(data: np.ndarray, lines: Lines, spans: np.ndarray, min_words: int) -> tuple[bytes, int, int]:
+    """The text without its repeated runs, the number of its lines, and of those deleted."""
+    n = len(lines.hashes)
+    change = np.zeros(n + 1, np.int64)
+    np.add.at(change, np.minimum(spans[:, 0], n), 1)
+    np.subtract.at(change, np.minimum(spans[:, 1], n), 1)
+    covered = np.cumsum(change)[lines.head] > 0
+    edge = np.flatnonzero(np.diff(np.concatenate([[0], covered.astype(np.int8), [0]])))
+    gone = np.zeros(len(lines.head), bool)
+    for lo, hi in zip(edge[::2], edge[1::2]):
+        gone[lo:hi] = lines.tail[hi - 1] - lines.head[lo] >= min_words
+    begin = lines.starts[lines.head]
+    end = np.append(begin[1:], len(data))
+    parts = [data[: begin[0]].tobytes()] if len(begin) else [data.tobytes()]
+    parts += [data[a:b].tobytes() for a, b, g in zip(begin, end, gone) if not g]
+    return b"".join(parts), len(gone), int(gone.sum())
+
+
+def dedup_lines(docs: DataFrame, min_words: int = 40, doc: str = "doc_id", text: str = "text") -> DataFrame:
+    """Per document: ``doc_id, text`` without repeated runs, ``n_lines``, ``n_removed``.
+
+    The first place of a run stays, in the order of ids and positions, also
+    within one text. A later copy of a whole text is left empty. White space
+    and letter case do not matter in the comparison; what stays is as it was. A
+    null text stays null, and a row with a null id is neither changed nor
+    counted as a first place. Rows with the same id and text are one place, so
+    they do not delete each other. An empty table gives no rows; other columns
+    are ignored.
+    """
+    rows = docs.select(F.col(doc).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).withColumn("version", F.xxhash64("text"))
+    spans = repeated_grams(rows.where("doc_id is not null and text is not null"))
+    listed = spans.distinct().groupBy("doc_id", "version").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))  # within one text
+    joined = rows.join(listed, ["doc_id", "version"], "left").select("doc_id", "text", "spans")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, data, at in slices(batches, "text"):
+            null = np.asarray(part.column(1).is_null(), bool)
+            texts, counts, gone = [], [], []
+            whole = Lines(data, at)
+            per = np.bincount(whole.text, minlength=part.num_rows) if len(whole.head) else np.zeros(part.num_rows, np.int64)
+            for i, spans in enumerate(part.column(2).to_pylist()):
+                own = data[at[i] : at[i + 1]]
+                if spans:
+                    kept, n, k = _drop_runs(own, Lines(own, np.array([0, len(own)])), np.array([(s["lo"], s["hi"]) for s in spans]), min_words)
+                else:
+                    kept, n, k = own.tobytes(), int(per[i]), 0
+                texts.append(None if null[i] else kept)
+                counts.append(n)
+                gone.append(k)
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0), pa.array(texts, pa.binary()).cast(pa.string()), pa.array(counts, pa.int64()), pa.array(gone, pa.int64())],
+                names=["doc_id", "text", "n_lines", "n_removed"],
+            )
+
+    return map_arrow(joined, run, "doc_id long, text string, n_lines long, n_removed long")

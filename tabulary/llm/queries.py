@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, decontaminate, fingerprint, language_id, mixing, near_dup, quality, token_store, url_filter
+from . import chat_format, decontaminate, fingerprint, language_id, line_dedup, mixing, near_dup, quality, token_store, url_filter
 from .common import is_member, materialize, table
 
 URL_RULES = [
@@ -18,6 +18,10 @@ URL_RULES = [
 ]
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = is_member("doc_id", 5, 0)
@@ -119,6 +123,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_line_dedup": op1_line_dedup,
     "op2_quality": op2_quality,
     "op3_url_filter": op3_url_filter,
     "op4_near_dup": op4_near_dup,
