@@ -34,7 +34,7 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/tabulary-{uuid.uuid4().hex}"
 
 
-def map_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+def map_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
     """``mapInArrow``, with this package at hand in the workers."""
     ship(df.sparkSession)
     return df.mapInArrow(run, schema)

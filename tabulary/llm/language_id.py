@@ -179,16 +179,38 @@ def predict(docs: DataFrame, profiles: Profiles, doc: str = "doc_id", text: str
     picked = docs.select(F.col(doc).alias("doc_id"), F.col(text).cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = shared.value
-        names = np.array([*known.languages, "und"], object)
         for part, data, at in slices(batches, "text"):
-            vectors = text_vectors(data, at)
-            best, score = np.full(part.num_rows, len(known.languages)), np.zeros(part.num_rows)
-            if known.languages:
-                cosines = vectors @ known.vectors.T
-                some = vectors.any(axis=1)
-                best[some] = cosines[some].argmax(axis=1)
-                score[some] = np.clip(cosines[some].max(axis=1), 0, 1)
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(names[best], pa.string()), pa.array(score, pa.float64())], names=["doc_id", "lang_pred", "score"])
+            names, score = nearest(data, at, shared.value)
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(names, pa.string()), pa.array(score, pa.float64())], names=["doc_id", "lang_pred", "score"])
 
     return map_arrow(picked, run, f"doc_id {picked.schema[0].dataType.simpleString()}, lang_pred string, score double")
+
+
+def nearest(data: np.ndarray, at: np.ndarray, profiles: Profiles) -> tuple[np.ndarray, np.ndarray]:
+    """Language and score of each text of a slice."""
+    names = np.array([*profiles.languages, "und"], object)
+    vectors = text_vectors(data, at)
+    best, score = np.full(len(vectors), len(profiles.languages)), np.zeros(len(vectors))
+    if profiles.languages:
+        cosines = vectors @ profiles.vectors.T
+        some = vectors.any(axis=1)
+        best[some] = cosines[some].argmax(axis=1)
+        score[some] = np.clip(cosines[some].max(axis=1), 0, 1)
+    return names[best], score
+
+
+def keep_languages(docs: DataFrame, profiles: Profiles, languages: list[str] | None = None, text: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns as they are, whose text is in one of ``languages``.
+
+    By default any learned language will do, so only ``und`` goes: null texts
+    and texts without letters. No row is moved.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(profiles)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, data, at in slices(batches, text):
+            names, _ = nearest(data, at, shared.value)
+            wanted = names != "und" if languages is None else np.isin(names.astype(str), languages)
+            yield part.filter(pa.array(wanted, pa.bool_()))
+
+    return map_arrow(docs, run, docs.schema)

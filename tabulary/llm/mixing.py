@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import materialize, running_total
@@ -97,3 +97,20 @@ def mix(
         F.count(F.when(in_, 1)).alias("copies"),
         F.sum(F.when(in_, F.col("size")).otherwise(F.lit(0))).cast("long").alias("taken"),
     )
+
+
+def apply_mix(docs: DataFrame, doc: str = "doc_id", text: str = "text", source: str = "source", **options) -> DataFrame:
+    """The rows of ``docs``, each as often as :func:`mix` takes it (``options`` go there).
+
+    Rows that agree in id, source and size share the copies taken of them.
+    """
+    mixed = mix(docs, doc=doc, text=text, source=source, **options)
+    key = F.to_json(F.struct(F.col(doc).alias("doc_id"), F.col(source).cast("string").alias("source"), F.col("_size").alias("size")))
+    taken = mixed.groupBy("doc_id", "source", "size").agg(F.sum("copies").alias("_copies"), F.count("*").alias("_rows"))
+    taken = taken.select(F.to_json(F.struct("doc_id", "source", "size")).alias("_key"), "_copies", "_rows").where("_copies > 0")
+    rows = docs.withColumn("_size", word_count(F.col(text))).withColumn("_key", key)
+    rows = rows.withColumn("_row", F.row_number().over(Window.partitionBy("_key").orderBy(F.xxhash64(F.col(text)))))
+    joined = rows.join(taken, "_key")
+    share = F.floor(F.col("_copies") / F.col("_rows")) + F.when(F.col("_row") <= F.col("_copies") % F.col("_rows"), 1).otherwise(0)
+    names = [F.col(f"`{c}`") for c in docs.columns]
+    return joined.withColumn("_times", share.cast("int")).where("_times > 0").select(*names, F.explode(F.sequence(F.lit(1), F.col("_times"))).alias("_time")).drop("_time")
