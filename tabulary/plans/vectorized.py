@@ -1,0 +1,111 @@
+"""First-match evaluation of wide decision tables over whole columns.
+
+A ``CASE`` of hundreds of branches makes methods that the JVM will not compile,
+and one of thousands exhausts memory. Here each condition is a numpy expression
+over an Arrow batch, so the cost per row stays that of the comparisons.
+"""
+
+from __future__ import annotations
+
+import re
+from typing import Any
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+from .rules import RuleSet, walk
+
+_Mask = tuple[np.ndarray, np.ndarray]  # holds, is known
+
+
+def fired_index(ruleset: RuleSet, columns: dict[str, Column]) -> Column:
+    """Number of the first rule that fires, as ``Compiler.fired`` gives it.
+
+    ``columns`` holds the rules' fields. The UDF is marked nondeterministic so
+    that Spark does not run it once per use.
+    """
+    names = sorted({node["field"] for rule in ruleset.rules for node in walk(rule.when) if "field" in node})
+    rules = [rule.when for rule in ruleset.rules]
+
+    @F.pandas_udf("int")
+    def first(*series: pd.Series) -> pd.Series:
+        return pd.Series(first_match(rules, dict(zip(names, series)), len(series[0])))
+
+    return first.asNondeterministic()(*(columns[n] for n in names))
+
+
+def first_match(rules: list[dict], data: dict[str, pd.Series], n: int) -> np.ndarray:
+    cache: dict[str, tuple[np.ndarray, np.ndarray]] = {}
+    out, open_ = np.zeros(n, np.int32), np.ones(n, bool)
+    for i, rule in enumerate(rules, 1):
+        holds, known = _condition(rule, data, n, cache)
+        hit = holds & known & open_
+        out[hit] = i
+        open_ &= ~hit
+        if not open_.any():
+            break
+    return out
+
+
+def _column(name: str, data: dict[str, pd.Series], cache: dict) -> tuple[np.ndarray, np.ndarray]:
+    if name not in cache:
+        series = data[name]
+        known = series.notna().to_numpy()
+        values = series.to_numpy()
+        if values.dtype == object and known.any() and isinstance(values[known][0], (bool, np.bool_)):
+            values = np.where(known, values, False).astype(bool)
+        elif values.dtype == object:
+            values = np.where(known, values, "").astype(str)
+        cache[name] = values, known
+    return cache[name]
+
+
+def _condition(part: dict, data: dict[str, pd.Series], n: int, cache: dict) -> _Mask:
+    """Three-valued logic, as SQL has it."""
+    if "all" in part:
+        false, known = np.zeros(n, bool), np.ones(n, bool)
+        for inner in part["all"]:
+            h, k = _condition(inner, data, n, cache)
+            false |= k & ~h
+            known &= k
+        return ~false & known, known | false
+    if "any" in part:
+        true, known = np.zeros(n, bool), np.ones(n, bool)
+        for inner in part["any"]:
+            h, k = _condition(inner, data, n, cache)
+            true |= k & h
+            known &= k
+        return true, known | true
+    if "not" in part:
+        h, k = _condition(part["not"], data, n, cache)
+        return k & ~h, k
+    values, known = _column(part["field"], data, cache)
+    return _compare(values, known, part["op"], part.get("value"), data, cache)
+
+
+def _compare(values: np.ndarray, known: np.ndarray, op: str, right: Any, data: dict, cache: dict) -> _Mask:
+    everywhere = np.ones(len(known), bool)
+    if op == "is null":
+        return ~known, everywhere
+    if op == "is not null":
+        return known, everywhere
+    if op in ("in", "not in"):
+        found = np.isin(values, list(right)) if len(right) else np.zeros(len(known), bool)
+        return (found if op == "in" else ~found) & known, known if len(right) else everywhere
+    if op == "between":
+        return (values >= right[0]) & (values <= right[1]) & known, known
+    if isinstance(right, dict):
+        right, also = _column(right["field"], data, cache)
+        known = known & also
+    if op == "contains":
+        return (np.char.find(values.astype(str), right) >= 0) & known, known
+    if op == "starts with":
+        return np.char.startswith(values.astype(str), right) & known, known
+    if op == "ends with":
+        return np.char.endswith(values.astype(str), right) & known, known
+    if op == "matches":
+        return np.fromiter((re.search(right, v) is not None for v in values.astype(str)), bool, len(known)) & known, known
+    holds = {"==": np.equal, "!=": np.not_equal, "<": np.less, "<=": np.less_equal, ">": np.greater, ">=": np.greater_equal}[op](values, right)
+    return holds & known, known
