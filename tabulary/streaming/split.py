@@ -52,4 +52,5 @@ def read_split(spark, path: str) -> DataFrame:
 
 def windowed_counts(df: DataFrame, time: str, key: str, width: str, late: str) -> DataFrame:
     """Rows per key and window of event time; rows later than ``late`` are dropped once a window is out."""
+    df = df.withColumn(time, quoted(time).cast("timestamp"))  # watermarks know no other type
     return df.withWatermark(time, late).groupBy(F.window(time, width), key).agg(F.count("*").alias("n"))
