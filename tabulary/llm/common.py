@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -31,7 +32,11 @@ def shared_dir(spark: SparkSession) -> str:
     if not base:
         base = "file://" + tempfile.mkdtemp(prefix="tabulary-")
         spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/tabulary-{uuid.uuid4().hex}"
+    where = spark._jvm.org.apache.hadoop.fs.Path(base)
+    # a path without a scheme is one of Spark's default file system, which Python would take for a local one
+    full = where.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(where).toString()
+    full = re.sub(r"^file:/+", "file:///", full)
+    return f"{full.rstrip('/')}/tabulary-{uuid.uuid4().hex}"
 
 
 def map_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:

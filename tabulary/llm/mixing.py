@@ -66,6 +66,8 @@ def mix(
     sized = materialize(docs.select(F.col(doc).alias("doc_id"), F.col(source).cast("string").alias("source"), word_count(F.col(text)).alias("size")), "sizes")
     sizes = {s: n for s, n in sized.groupBy("source").agg(F.sum("size")).collect()}
     weights = ranked_weights(list(sizes)) if weights is None else weights
+    if missing := set(sizes) - set(weights):
+        raise ValueError(f"sources without a weight: {sorted(missing, key=str)}")
     goal = fraction * sum(sizes.values())
     targets = water_fill(sizes, weights, goal, epochs)
     # the largest whole number of words within the sum of the targets, which floats may miss by a hair

@@ -180,7 +180,12 @@ class _Writer:
 
     def close(self) -> None:
         self.stream.close()
-        self.fs.move(self.own, self.path)
+        try:
+            self.fs.move(self.own, self.path)
+        except OSError:  # some file systems do not replace; another run of this task wrote the same file
+            if self.fs.get_file_info(self.path).type == fs.FileType.NotFound:
+                raise
+            self.fs.delete_file(self.own)
 
 
 def _read(path: str, start: int = 0, size: int | None = None) -> bytes:

@@ -7,10 +7,11 @@ from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from .common import map_arrow
 
-#: Rules are sent to every executor, so their trie may not be larger than this when pickled.
+#: A trie up to this size, pickled, is sent to every executor; more rules than that are joined.
 MAX_TRIE_BYTES = 128 << 20
 
 _PATHS, _ENDS = "/paths", "/ends"  # no host label or path segment has a slash in it
@@ -85,11 +86,13 @@ def judge_urls(
     A rule fits its host and all subdomains, on paths that start with its own;
     the longest wins, whether it allows or blocks. A null or malformed url has
     an empty host and path, which no rule fits. Only the two named columns are
-    read, rows are neither moved nor dropped, and repeated rows stay.
+    read, and every row, repeated ones too, is judged once. Rows do not move
+    unless the rules are too many to be sent everywhere.
     """
+    rules = list(rules)
     trie = build_trie(rules)
-    if (size := len(pickle.dumps(trie))) > MAX_TRIE_BYTES:
-        raise ValueError(f"the rules take {size} bytes; at most {MAX_TRIE_BYTES} are sent to executors")
+    if len(pickle.dumps(trie)) > MAX_TRIE_BYTES:
+        return _joined(pages.select(key, url), rules, key, url, default)
     shared = pages.sparkSession.sparkContext.broadcast(trie)
     picked = pages.select(key, url)
     key_type = picked.schema[0].dataType.simpleString()
@@ -111,3 +114,31 @@ def judge_urls(
             )
 
     return map_arrow(picked, run, f"`{key}` {key_type}, host string, path string, rule string, verdict string")
+
+
+def _joined(pages: DataFrame, rules: list[tuple[str, str, str]], key: str, url: str, default: str) -> DataFrame:
+    """As ``judge_urls``, by joins: each distinct url meets the rules of its host's suffixes and path's prefixes.
+
+    A rule is stored under its host and the whole segments of its path; what is
+    left of the path is compared after the join.
+    """
+    spark = pages.sparkSession
+    listed = [(h.translate(_LOWER), p[: p.rfind("/") + 1], p, h.translate(_LOWER) + p, v) for h, p, v in rules]
+    known = spark.createDataFrame(listed, "_host string, _stem string, _path string, _rule string, _verdict string")
+    known = known.groupBy("_host", "_stem", "_path", "_rule").agg(F.max("_verdict").alias("_verdict"))  # block over allow
+    rest = F.regexp_extract(F.col("_url"), r"(?s)^.*?://(.*)$", 1)
+    urls = pages.select(F.coalesce(F.col(url), F.lit("")).alias("_url")).distinct()
+    urls = urls.select("_url", F.translate(F.regexp_extract(rest, r"(?s)^[^/?#]*", 0), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz").alias("host"), F.regexp_extract(rest, r"(?s)^[^/?#]*([^?#]*)", 1).alias("path"))
+
+    def ends(text, mark: str, whole):
+        """Each part of ``text`` cut at ``mark``, by its number."""
+        n = F.size(F.split(text, mark))
+        return F.explode(F.transform(F.sequence(F.lit(0), n - 1), whole))
+
+    labels, segments = F.split("host", r"\."), F.split("path", "/")
+    tried = urls.select("*", ends(F.col("host"), r"\.", lambda i: F.array_join(F.slice(labels, i + 1, F.size(labels)), ".")).alias("_host"))
+    tried = tried.select("*", ends(F.col("path"), "/", lambda i: F.when(i == 0, F.lit("")).otherwise(F.concat(F.array_join(F.slice(segments, F.lit(1), i), "/"), F.lit("/")))).alias("_stem"))
+    hits = tried.join(known, ["_host", "_stem"]).where(F.startswith(F.col("path"), F.col("_path")))
+    best = hits.groupBy("_url").agg(F.max_by(F.struct("_rule", "_verdict"), F.struct(F.length("_rule"), F.length("_host"))).alias("_best"))
+    judged = urls.join(best, "_url", "left").select("_url", "host", "path", F.col("_best._rule").alias("rule"), F.coalesce("_best._verdict", F.lit(default)).alias("verdict"))
+    return pages.withColumn("_url", F.coalesce(F.col(url), F.lit(""))).join(judged, "_url").select(key, judged["host"], judged["path"], judged["rule"], "verdict")

@@ -39,6 +39,16 @@ def test_any_rules(spark, url):
     assert (host, path, *(found or (None, "allow"))) == plain(url, rules)
 
 
+def test_many_rules_are_joined(spark, monkeypatch):
+    monkeypatch.setattr(uf, "MAX_TRIE_BYTES", 0)
+    rules = [*URL_RULES, ("b.com", "/x/y", "block"), ("com", "/x", "allow"), ("a.b.com", "", "allow"), ("b.com", "/x/y/", "allow"), ("c.b.com", "/xy", "block"), ("c.b.com", "/xy", "allow")]
+    urls = [*URLS, "http://a.b.com/x/y/z", "http://b.com/x/yy", "http://b.com/x", "http://c.b.com/xyz/", "http://c.b.com/xy", "http://a.b.com"]
+    rows = [(i, u, "h", "r") for i, u in enumerate(urls)] + [(1, "", None, None)]
+    got = uf.judge_urls(spark.createDataFrame(rows, SCHEMA), rules).collect()
+    want = [(r[0], *plain(r[1], [x for x in rules if x != ("c.b.com", "/xy", "allow")])) for r in rows]
+    assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
+
+
 def test_no_rows_and_no_rules(spark):
     assert uf.judge_urls(spark.createDataFrame([], SCHEMA), URL_RULES).count() == 0
     assert uf.judge_urls(spark.createDataFrame([(1, "http://a.com/", "", "")], SCHEMA), [], default="block").collect()[0].verdict == "block"
