@@ -104,9 +104,9 @@ def _repeat_map(texts: DataFrame) -> np.ndarray:
     repeated = _fingerprint_rows(texts).groupBy("gram").agg(F.count("*").alias("n")).where("n > 1")
     bit = F.pmod(F.col("gram"), F.lit(MAP_BITS))
     cells = repeated.groupBy(F.floor(bit / 64).cast("int").alias("cell")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), (bit % 64).cast("int"))).alias("bits"))
-    got = cells.toPandas()  # at most MAP_BITS / 64 rows
+    got = cells.toArrow()  # at most MAP_BITS / 64 rows
     out = np.zeros(MAP_BITS // 64, np.int64)
-    out[got["cell"].to_numpy(np.int64)] = got["bits"].to_numpy(np.int64)
+    out[got["cell"].to_numpy()] = got["bits"].to_numpy()
     return out
 
 
