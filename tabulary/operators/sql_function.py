@@ -15,7 +15,7 @@ from ..plans.rules import Registry, RuleSet, registry
 from ..rule_types import kind_of
 from ..shipping import ship
 from .batched import Calls, RuleEvaluator, judge_rows
-from .solve import ERROR_COLUMN, solve_native
+from .solve import ERROR_COLUMN
 
 
 def _sql_type(kind: str) -> str:
@@ -79,8 +79,8 @@ def register_native(
     """Register ``name(input, ..)`` as a SQL function that Spark inlines.
 
     Returns the value's type and the text of a call with the rule's inputs as
-    columns. The rule's expressions are written out by Spark itself from the
-    compiled plan, so the function is exactly what ``solve`` would do.
+    columns. The outputs and the error are those of ``solve``. Lists and
+    objects have no form in it and are refused.
     """
     ruleset = rule if isinstance(rule, RuleSet) else (rules or registry).get(rule)
     if not isinstance(name, str) or not name.replace("_", "a").isalnum():
@@ -156,20 +156,51 @@ def _condition(part: dict, outputs: dict[str, str]) -> str:
     return f"({left} {'=' if op == '==' else '<>' if op == '!=' else op} {value})"
 
 
+def _fails(part: Any, outputs: dict[str, str]) -> str | None:
+    """Where making a value divides by zero, as a condition; None where nothing can."""
+    if not isinstance(part, dict):
+        return None
+    if "if" in part:
+        yes, no = _fails(part["then"], outputs), _fails(part.get("else"), outputs)
+        return f"CASE WHEN {_condition(part['if'], outputs)} THEN {yes or 'false'} ELSE {no or 'false'} END" if yes or no else None
+    for name in ("add", "subtract", "multiply", "divide", "min", "max"):
+        if set(part) == {name}:
+            found = [f for f in (_fails(p, outputs) for p in part[name]) if f]
+            if name == "divide":
+                args = [f"CAST({_value(p, outputs)} AS DOUBLE)" for p in part[name]]
+                zero = " OR ".join(f"{x} = 0" for x in args[1:])
+                found.append(f"({' AND '.join(f'{x} IS NOT NULL' for x in args)} AND ({zero}))")
+            return "(" + " OR ".join(f"coalesce({f}, false)" for f in found) + ")" if found else None
+    return None
+
+
 def sql_text(ruleset: RuleSet) -> str:
     """The rule set as one SQL expression over its inputs (numbers are doubles, NaN is null)."""
     outputs: dict[str, str] = {}
+    failed: dict[str, str] = {}
     conditions = [_condition(r.when, {}) for r in ruleset.rules]
     for output in ruleset.outputs:
-        if output.name in ruleset.derived:
+        name = output.name
+        if name in ruleset.derived:
             continue
-        whens = " ".join(f"WHEN {c} THEN {_value(r.then.get(output.name), {})}" for c, r in zip(conditions, ruleset.rules))
-        default = _value(ruleset.default.get(output.name), {})
-        outputs[output.name] = f"CASE {whens} ELSE {default} END" if whens else default
+        parts = [*(r.then.get(name) for r in ruleset.rules), ruleset.default.get(name)]
+
+        def table(texts: list[str]) -> str:
+            whens = " ".join(f"WHEN {c} THEN {t}" for c, t in zip(conditions, texts))
+            return f"CASE {whens} ELSE {texts[-1]} END" if whens else texts[-1]
+
+        outputs[name] = table([_value(p, {}) for p in parts])
+        fails = [_fails(p, {}) for p in parts]
+        if any(fails):
+            failed[name] = table([f or "false" for f in fails])
     for name, part in ruleset.derived.items():
+        if fails := _fails(part, outputs):
+            failed[name] = fails
         outputs[name] = _value(part, outputs)
-    fields = ", ".join(f"'{o.name}', CAST({outputs.get(o.name, 'NULL')} AS {o.type.simpleString()})" for o in ruleset.outputs)
-    text = f"named_struct({fields}, '{ERROR_COLUMN}', CAST(NULL AS STRING))"
+    error = f"coalesce({', '.join(f"CASE WHEN {f} THEN {_literal(f'{n}: division by zero')} END" for n, f in failed.items())})" if failed else "CAST(NULL AS STRING)"
+    kept = lambda v: f"CASE WHEN {error} IS NULL THEN {v} END" if failed else v
+    fields = ", ".join(f"'{o.name}', CAST({kept(outputs.get(o.name, 'NULL'))} AS {o.type.simpleString()})" for o in ruleset.outputs)
+    text = f"named_struct({fields}, '{ERROR_COLUMN}', {error})"
     for f in ruleset.inputs:
         if f.kind == "number":
             text = text.replace(f"`{f.name}`", f"nanvl(`{f.name}`, CAST(NULL AS DOUBLE))")
@@ -187,4 +218,4 @@ def local_evaluator(ruleset: RuleSet) -> type[RuleEvaluator]:
     return Local
 
 
-__all__ = ["register_native", "register_udf", "local_evaluator", "sql_text", "solve_native"]
+__all__ = ["register_native", "register_udf", "local_evaluator", "sql_text"]

@@ -155,6 +155,19 @@ def test_sql_functions(spark):
     assert filtered._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
 
 
+def test_sql_function_has_the_errors_of_solve(spark):
+    rule = RuleSet(
+        "half", [Field("a", "number"), Field("b", "number")], [Output("q", "number"), Output("r", "number"), Output("s")],
+        [], default={"s": "ok", "q": {"divide": [1, {"field": "a"}]}},
+        derived={"r": {"if": {"field": "b", "op": ">=", "value": 0}, "then": {"add": [1, {"divide": [{"field": "a"}, {"field": "b"}]}]}, "else": None}},
+    )
+    spark.createDataFrame([(a, b) for a in (0.0, 2.0, None) for b in (-1.0, 0.0, 4.0, None, math.nan)], "a double, b double").createOrReplaceTempView("halves")
+    _, call = register_native(spark, "half_rule", rule)
+    native = spark.sql(f"SELECT r.* FROM (SELECT {call} r FROM halves)").collect()
+    assert native == solve(spark.table("halves"), rule).drop("a", "b").collect()
+    assert {r["_rule_error"] for r in native} == {None, "q: division by zero", "r: division by zero"}
+
+
 @pytest.mark.parametrize("bad", [{"name": ""}, {"name": " "}, {"rule": ""}, {"batch_size": 0}, {"batch_size": 1001}])
 def test_udf_arguments(spark, bad):
     with pytest.raises(ValueError):
