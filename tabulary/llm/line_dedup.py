@@ -10,7 +10,8 @@ the run.
 Places whose fingerprints repeat are joined, and their matches are extended both
 ways, by the grams that lead forward and backward from every line around them.
 Each gram's first place (by document id, then position) stays; the others are
-repeats, and a run of repeated lines of ``min_words`` words is deleted. No two
+repeats, and a run of repeated lines of ``min_words`` words is deleted (30: a
+passage of 50 loses the sentences at its ends where it is set into others). No two
 places are ever paired: a line that every document has costs one row for each.
 """
 
@@ -25,7 +26,7 @@ from pyspark.sql import functions as F
 
 from .common import SPACED, _powers, map_arrow, materialize, mix64, slices, words
 
-GRAM, REACH = 16, 24
+GRAM, REACH = 16, 14
 #: Bits of the map of repeated fingerprints that all executors get (8 MB). A full
 #: map lets more places through to the exact comparison, and changes no result.
 MAP_BITS = 1 << 26
@@ -128,9 +129,9 @@ def repeated_grams(docs: DataFrame) -> DataFrame:
             n = len(lines.head)
             near = np.zeros(n + 1, np.int64)
             np.add.at(near, np.searchsorted(lines.head, lines.head[chosen] - REACH - GRAM), 1)
-            np.subtract.at(near, np.searchsorted(lines.head, lines.head[chosen] + REACH + 2 * GRAM, "right"), 1)
-            near = np.cumsum(near)[:n] > 0
             last, ok = lines.forward(GRAM)
+            np.subtract.at(near, np.searchsorted(lines.head, lines.tail[last[chosen]] + REACH + GRAM, "right"), 1)
+            near = np.cumsum(near)[:n] > 0
             f = np.flatnonzero(ok & near)
             back, ok = lines.backward(GRAM)
             b = np.flatnonzero(ok & near)
@@ -171,7 +172,7 @@ def _drop_runs(data: np.ndarray, lines: Lines, spans: np.ndarray, min_words: int
     return b"".join(parts), len(gone), int(gone.sum())
 
 
-def dedup_lines(docs: DataFrame, min_words: int = 40, doc: str = "doc_id", text: str = "text") -> DataFrame:
+def dedup_lines(docs: DataFrame, min_words: int = GRAM + REACH, doc: str = "doc_id", text: str = "text") -> DataFrame:
     """Per document: ``doc_id, text`` without repeated runs, ``n_lines``, ``n_removed``.
 
     The first place of a run stays, in the order of ids and positions, also

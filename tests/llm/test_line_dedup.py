@@ -28,7 +28,7 @@ def grams(own):
     return out
 
 
-def plain(docs, min_words=40):
+def plain(docs, min_words=30):
     """Lines that must go and lines that may go, by id: runs that one earlier place has whole, and any covered run."""
     own = {d: lines(t) for d, t in docs}
     first = {}
@@ -102,6 +102,22 @@ def test_planted_passages(spark):
     assert all(lower(passage).split()[5] not in lower(got[d][0]).split() or d == 0 for d in range(0, 60, 3))
 
 
+def test_passages_set_into_sentences(spark):
+    """A passage of 51 words in the midst of sentences: its whole sentences go, all else stays."""
+    rng = random.Random(8)
+    word = lambda: f"w{rng.randrange(20000)}"
+    passage = " ".join(f"p{k}" + ("." if k % 8 == 7 else "") for k in range(51))
+    docs = []
+    for d in range(12):
+        head = " ".join(word() + ("." if k % 7 == 6 else "") for k in range(40))
+        docs.append((d, f"{head} {word()} {passage} {word()} end. " + " ".join(word() for _ in range(30))))
+    got = result(spark.createDataFrame(docs, "doc_id long, text string"))
+    assert got[0][2] == 0
+    for d in range(1, 12):
+        left = got[d][0].split()
+        assert sum(w.startswith("p") for w in left) <= 16 and sum(w[0] != "p" for w in left) == sum(w[0] != "p" for w in docs[d][1].split())
+
+
 def test_hard_rows(spark):
     got = ld.dedup_lines(hard_docs(spark)).collect()
     assert len(got) == len(hard_rows())
