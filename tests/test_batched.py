@@ -122,6 +122,20 @@ def test_retries_wait_longer_each_time():
     assert not slept
 
 
+def test_calls_that_hang_time_out():
+    import time
+
+    tries = []
+
+    def response(rows):
+        tries.append(1)
+        time.sleep(1 if len(tries) < 3 else 0)
+        return [{"priority": "x"}]
+
+    assert judged(response, n=1, timeout_seconds=0.1, max_retries=1)[1] == ["TimeoutError: timed out after 0.1 s"]
+    assert judged(response, n=1, timeout_seconds=0.1, max_retries=2)[0]["priority"] == ["x"]
+
+
 def test_values_pass_through_untouched(spark):
     df = spark.createDataFrame([(9007199254740993, math.nan, b"x"), (None, None, None)], "financial_impact bigint, x double, y binary").coalesce(1)
     got = solve(df, RULE, evaluator=Fake).collect()
