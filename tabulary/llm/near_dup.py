@@ -10,9 +10,10 @@ bucket is linear in its members:
 
 1. each member is compared with the bucket's pivot that it meets most often,
    then with the other pivots where that left it in another component;
-2. what still lies apart in one bucket is compared in blocks of ``BLOCK``
-   documents, every pair of different components, so that no pair of a bucket
-   goes unseen, however large the bucket is.
+2. buckets whose members still lie in several components are gathered by the
+   commonest of them. There, each document that is astray from it is compared
+   with all others, in blocks of ``BLOCK`` documents, so that no pair of a bucket
+   goes unseen, however large the bucket is, and few are seen twice.
 
 Pairs are made and judged inside a block; only confirmed links leave it.
 """
@@ -236,8 +237,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: i
     def fanned(pairs: DataFrame) -> DataFrame:
         """Links among (rep, pivot, left label, right label), FAN members a block."""
         loads = pairs.groupBy("pivot").agg(F.ceil(F.count("*") / F.lit(FAN)).cast("int").alias("subs"), F.first("pivot_label").alias("pivot_label"))
-        members = pairs.join(loads.drop("pivot_label"), "pivot").select(F.col("pivot").alias("grp"), F.pmod(F.xxhash64("rep"), F.col("subs")).cast("int").alias("sub"), F.col("rep").alias("doc"), F.col("label"), F.lit(2).alias("side"))
-        heads = loads.select(F.col("pivot").alias("grp"), F.explode(F.sequence(F.lit(0), F.col("subs") - 1)).alias("sub"), F.col("pivot").alias("doc"), F.col("pivot_label").alias("label"), F.lit(1).alias("side"))
+        members = pairs.join(loads.drop("pivot_label"), "pivot").select(F.col("pivot").alias("grp"), F.pmod(F.xxhash64("rep"), F.col("subs")).cast("long").alias("sub"), F.col("rep").alias("doc"), F.col("label"), F.lit(2).alias("side"))
+        heads = loads.select(F.col("pivot").alias("grp"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("subs").cast("long") - 1)).alias("sub"), F.col("pivot").alias("doc"), F.col("pivot_label").alias("label"), F.lit(1).alias("side"))
         return compare(members.unionByName(heads).join(used, F.col("doc") == used["doc_id"]).drop("doc_id"), width, percent)
 
     def labelled(df: DataFrame, labels: DataFrame, column: str, out: str) -> DataFrame:
@@ -251,22 +252,26 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: i
     links = materialize(links.unionByName(fanned(open_)), "links")
     labels = materialize(components(links), "labels")
 
-    # buckets whose members still lie in several components
-    members = materialize(labelled(met.select("key", "rep", "m"), labels, "rep", "label"), "members")
-    apart = members.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("key")
-    # a bucket of two was settled by its pivot
-    left = members.join(apart, "key").where("m > 2").withColumn("blocks", F.ceil(F.col("m") / F.lit(BLOCK)).cast("int"))
-    block = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
-    blocked = left.withColumn("block", block).select(
-        F.col("key").alias("grp"), F.col("rep").alias("doc"), "label", "block",
-        F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"),
-    )
-    placed = blocked.select(
-        "grp",
-        (F.least("block", "other") * 1_000_003 + F.greatest("block", "other")).alias("sub"),
-        "doc", "label",
-        F.when(F.col("block") == F.col("other"), 3).when(F.col("block") < F.col("other"), 1).otherwise(2).alias("side"),
-    )
+    # buckets whose members still lie in several components; one of two members was settled by its pivot
+    members = materialize(labelled(met.where("m > 2").select("key", "rep"), labels, "rep", "label"), "members")
+    counted = members.groupBy("key", "label").agg(F.count("*").alias("n"))
+    homes = counted.groupBy("key").agg(F.max_by("label", F.struct("n", -F.col("label"))).alias("home"), F.count("*").alias("labels"))
+    # a bucket is at home in its commonest component; documents that meet there in many buckets are compared once
+    crowd = materialize(members.join(homes.where("labels > 1").select("key", "home"), "key").select("home", "rep", "label").distinct(), "crowd")
+    strays = F.count(F.when(F.col("label") != F.col("home"), 1))
+    sizes = crowd.groupBy("home").agg(F.ceil(strays / F.lit(BLOCK)).alias("lefts"), F.ceil(F.count("*") / F.lit(BLOCK)).alias("rights"))
+    placed = crowd.join(sizes, "home")
+    hashed = F.xxhash64("rep")
+
+    def blocks(rows: DataFrame, own: str, other: str, side: int) -> DataFrame:
+        """Every row next to each block of the other side."""
+        block = F.pmod(hashed, F.col(own))
+        met_with = rows.select("home", "rep", "label", block.alias("own"), F.explode(F.sequence(F.lit(0).cast("long"), F.col(other) - 1)).alias("other"))
+        left, right = ("own", "other") if side == 1 else ("other", "own")
+        return met_with.select(F.col("home").alias("grp"), (F.col(left) * (1 << 31) + F.col(right)).alias("sub"), F.col("rep").alias("doc"), "label", F.lit(side).alias("side"))
+
+    # of two documents in different components, one at least is astray from home
+    placed = blocks(placed.where("label <> home"), "lefts", "rights", 1).unionByName(blocks(placed, "rights", "lefts", 2))
     rest = compare(placed.join(used, F.col("doc") == used["doc_id"]).drop("doc_id"), width, percent)
     labels = components(links.unionByName(rest))
 
