@@ -151,6 +151,7 @@ def repeated_grams(docs: DataFrame) -> DataFrame:
 
     grams = materialize(map_arrow(docs.select("doc_id", "version", "text"), run, "doc_id long, version long, gram long, lo int, hi int"), "grams")
     firsts = grams.groupBy("gram").agg(F.min(F.struct("doc_id", "version", "lo")).alias("own"), F.count("*").alias("n")).where("n > 1").drop("n")
+    firsts = materialize(firsts, "firsts")  # with plain shuffles on both sides, Spark can split a gram that very many places have
     return grams.join(firsts, "gram").where(F.struct("doc_id", "version", "lo") != F.col("own")).select("doc_id", "version", "lo", "hi")
 
 
