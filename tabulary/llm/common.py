@@ -56,7 +56,7 @@ def materialize(df: DataFrame, label: str = "step") -> DataFrame:
 
 
 def discard(df: DataFrame) -> None:
-    """Delete what ``materialize`` wrote for ``df``, once nothing reads it any more."""
+    """Delete what ``materialize`` wrote for ``df`` (or ``running_total``), once nothing reads it any more."""
     path = getattr(df, "_tabulary_path", None)
     if path:
         jvm = df.sparkSession._jvm
@@ -85,11 +85,9 @@ def running_total(df: DataFrame, order: list[str], value: str, out: str = "total
         total += s or 0
     base = spark.createDataFrame(offsets, "_part int, _base long")
     within = Window.partitionBy("_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    return (
-        ranged.join(F.broadcast(base), "_part")
-        .withColumn(out, F.col("_base") + F.coalesce(F.sum(value).over(within), F.lit(0)))
-        .drop("_part", "_base")
-    )
+    summed = ranged.join(F.broadcast(base), "_part").withColumn(out, F.col("_base") + F.coalesce(F.sum(value).over(within), F.lit(0))).drop("_part", "_base")
+    summed._tabulary_path = ranged._tabulary_path
+    return summed
 
 
 def is_member(remainder_of: str, modulus: int, remainder: int):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, running_total
+from .common import discard, materialize, running_total
 
 
 def word_count(text: Column) -> Column:
@@ -88,12 +88,15 @@ def mix(
     joined = items.alias("i").join(plan.alias("p"), F.col("i.source").eqNullSafe(F.col("p.source")))
     placed = joined.select("i.*", "p.rank", "p.source_size", "p.before", "p.target")
     own = ["shuffle", "doc_id", "size", "rep"]
-    queued = running_total(placed, ["rank", *own], "size", "total").withColumn("cum", F.col("total") - F.col("before")).drop("total", "before")
+    ranked_rows = running_total(placed, ["rank", *own], "size", "total")
+    queued = ranked_rows.withColumn("cum", F.col("total") - F.col("before")).drop("total", "before")
     copies = queued.select("*", F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))).alias("epoch")).withColumn(
         "finish",
         F.when(F.col("target") > 0, (F.col("epoch") * F.col("source_size") + F.col("cum")) / F.col("target")),
     )
     sorted_ = running_total(copies, ["finish", "rank", "epoch", *own], "size", "reached")
+    discard(sized)
+    discard(ranked_rows)
     in_ = (F.col("size") > 0) & F.col("finish").isNotNull() & (F.col("reached") <= budget)
     return sorted_.groupBy("doc_id", "source", "size", "rep", "source_size", "target").agg(
         F.count(F.when(in_, 1)).alias("copies"),
