@@ -168,7 +168,7 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
             down = np.full(size + 1, np.uint64(_inverse(int(_MULT))), np.uint64)
             down[0] = 1
             powers = np.multiply.accumulate(up), np.multiply.accumulate(down)
-        if size > _WINDOW:
+        if size > 2 * _WINDOW:  # rare, and large
             return powers
         _POWERS[size] = powers
     return _POWERS[size]
@@ -196,11 +196,11 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, letters:
     return out
 
 
-def words(data: np.ndarray, at: np.ndarray, kind: np.ndarray, lower: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def words(data: np.ndarray, at: np.ndarray, kind: np.ndarray, lower: bool = True, hashed: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """All words of the texts in a slice: their hashes, starts (in bytes), and each text's first word.
 
     The last array has one entry more than texts: text i has the words from
-    entry i up to entry i + 1.
+    entry i up to entry i + 1. Without ``hashed``, all hashes are 0.
     """
     if len(data) == 0:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(len(at), np.int64)
@@ -217,5 +217,5 @@ def words(data: np.ndarray, at: np.ndarray, kind: np.ndarray, lower: bool = True
     else:
         starts = np.flatnonzero(edge[:-1] & inside)
         ends = np.flatnonzero(edge[1:] & inside) + 1
-    hashes = span_hashes(data, starts, ends, _LOWER if lower else _LETTERS)
+    hashes = span_hashes(data, starts, ends, _LOWER if lower else _LETTERS) if hashed else np.zeros(len(starts), np.uint64)
     return hashes, starts, np.searchsorted(starts, at, "left")

@@ -24,26 +24,33 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACED, _powers, map_arrow, materialize, mix64, slices, words
+from .common import SPACED, _powers, byte_class, map_arrow, materialize, mix64, slices, words
 
 GRAM, REACH = 16, 14
 #: Bits of the map of repeated fingerprints that all executors get (8 MB). A full
 #: map lets more places through to the exact comparison, and changes no result.
 MAP_BITS = 1 << 26
+#: A space behind one of these begins a new line.
+_ENDS = byte_class((0x21, 0x21), (0x2E, 0x2E), (0x3F, 0x3F))
 
 
 class Lines:
-    """Lines of the texts of a slice, as ranges of words."""
-
-    def __init__(self, data: np.ndarray, at: np.ndarray):
-        self.hashes, self.starts, self.first = words(data, at, SPACED)
-        space = np.flatnonzero((data[1:] == 0x20) & np.isin(data[:-1], np.frombuffer(b".!?", np.uint8))) + 2 if len(data) else np.zeros(0, np.int64)
-        cuts = np.unique(np.concatenate([at[:-1], space, np.flatnonzero(data == 0x0A) + 1]))
-        heads = np.searchsorted(self.starts, cuts)
-        self.head = np.unique(heads[heads < len(self.hashes)])  # first word of each line
+    """Lines of the texts of a slice, as ranges of words. Without ``hashed``, they have no grams."""
+
+    def __init__(self, data: np.ndarray, at: np.ndarray, hashed: bool = True):
+        self.hashes, self.starts, self.first = words(data, at, SPACED, hashed=hashed)
+        starts = np.zeros(len(data) + 1, bool)
+        starts[at[:-1]] = True
+        starts[1:] |= data == 0x0A
+        if len(data):
+            starts[2:] |= (data[1:] == 0x20) & _ENDS[data[:-1]]
+        heads = np.searchsorted(self.starts, np.flatnonzero(starts))
+        heads = heads[heads < len(self.hashes)]
+        self.head = heads[np.append(True, heads[1:] != heads[:-1])[: len(heads)]]  # first word of each line
         self.tail = np.append(self.head[1:], len(self.hashes))  # word behind each line
         self.text = np.searchsorted(self.first, self.head, "right") - 1
-        # the last line starting at a word belongs to the last text starting there
+        if not hashed:
+            return
         with np.errstate(over="ignore"):
             up, self.down = _powers(max(1, len(self.hashes)))
             self.sums = np.zeros(len(self.hashes) + 1, np.uint64)
@@ -155,22 +162,29 @@ def repeated_grams(docs: DataFrame) -> DataFrame:
     return grams.join(firsts, "gram").where(F.struct("doc_id", "version", "lo") != F.col("own")).select("doc_id", "version", "lo", "hi")
 
 
-def _drop_runs(data: np.ndarray, lines: Lines, spans: np.ndarray, min_words: int) -> tuple[bytes, int, int]:
-    """The text without its repeated runs, the number of its lines, and of those deleted."""
-    n = len(lines.hashes)
-    change = np.zeros(n + 1, np.int64)
-    np.add.at(change, np.minimum(spans[:, 0], n), 1)
-    np.subtract.at(change, np.minimum(spans[:, 1], n), 1)
-    covered = np.cumsum(change)[lines.head] > 0
+def _drop_runs(data: np.ndarray, lines: Lines, text: int, edges: np.ndarray, spans: np.ndarray, min_words: int, at: int) -> tuple[bytes, int]:
+    """Text ``text`` of a slice without its repeated runs, and how many lines that deletes.
+
+    ``data`` are the slice's bytes up to the text's end, ``at`` is its start.
+    ``edges`` are the first lines of the slice's texts, ``spans`` word ranges
+    within the text.
+    """
+    own = slice(edges[text], edges[text + 1])
+    base = lines.first[text]
+    head, tail = lines.head[own] - base, lines.tail[own] - base
+    n = int(tail[-1])
+    change = np.bincount(np.minimum(spans[:, 0], n), minlength=n + 1) - np.bincount(np.minimum(spans[:, 1], n), minlength=n + 1)
+    covered = np.cumsum(change)[head] > 0
     edge = np.flatnonzero(np.diff(np.concatenate([[0], covered.astype(np.int8), [0]])))
-    gone = np.zeros(len(lines.head), bool)
+    begin = lines.starts[lines.head[own]]
+    parts, gone = [], 0
     for lo, hi in zip(edge[::2], edge[1::2]):
-        gone[lo:hi] = lines.tail[hi - 1] - lines.head[lo] >= min_words
-    begin = lines.starts[lines.head]
-    end = np.append(begin[1:], len(data))
-    parts = [data[: begin[0]].tobytes()] if len(begin) else [data.tobytes()]
-    parts += [data[a:b].tobytes() for a, b, g in zip(begin, end, gone) if not g]
-    return b"".join(parts), len(gone), int(gone.sum())
+        if tail[hi - 1] - head[lo] >= min_words:
+            parts.append(data[at : begin[lo]].tobytes())
+            at = begin[hi] if hi < len(begin) else len(data)
+            gone += int(hi - lo)
+    parts.append(data[at:].tobytes())
+    return b"".join(parts), gone
 
 
 def dedup_lines(docs: DataFrame, min_words: int = GRAM + REACH, doc: str = "doc_id", text: str = "text") -> DataFrame:
@@ -192,18 +206,20 @@ def dedup_lines(docs: DataFrame, min_words: int = GRAM + REACH, doc: str = "doc_
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, data, at in slices(batches, "text"):
             null = np.asarray(part.column(1).is_null(), bool)
-            texts, counts, gone = [], [], []
-            whole = Lines(data, at)
-            per = np.bincount(whole.text, minlength=part.num_rows) if len(whole.head) else np.zeros(part.num_rows, np.int64)
-            for i, spans in enumerate(part.column(2).to_pylist()):
+            lines = Lines(data, at, hashed=False)
+            edges = np.searchsorted(lines.text, np.arange(part.num_rows + 1))
+            counts, gone, texts = np.diff(edges), np.zeros(part.num_rows, np.int64), []
+            # the ranges of all rows, as two flat arrays
+            spans = part.column(2)
+            ranges, bounds = spans.flatten(), np.concatenate([[0], np.cumsum(spans.value_lengths().fill_null(0))])
+            pairs = np.stack([np.asarray(ranges.field(k), np.int64) for k in (0, 1)], axis=1)
+            for i in range(part.num_rows):
                 own = data[at[i] : at[i + 1]]
-                if spans:
-                    kept, n, k = _drop_runs(own, Lines(own, np.array([0, len(own)])), np.array([(s["lo"], s["hi"]) for s in spans]), min_words)
+                if bounds[i] < bounds[i + 1]:
+                    text, gone[i] = _drop_runs(data[: at[i + 1]], lines, i, edges, pairs[bounds[i] : bounds[i + 1]], min_words, int(at[i]))
                 else:
-                    kept, n, k = own.tobytes(), int(per[i]), 0
-                texts.append(None if null[i] else kept)
-                counts.append(n)
-                gone.append(k)
+                    text = own.tobytes()
+                texts.append(None if null[i] else text)
             yield pa.RecordBatch.from_arrays(
                 [part.column(0), pa.array(texts, pa.binary()).cast(pa.string()), pa.array(counts, pa.int64()), pa.array(gone, pa.int64())],
                 names=["doc_id", "text", "n_lines", "n_removed"],
