@@ -275,7 +275,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: i
     rest = compare(placed.join(used, F.col("doc") == used["doc_id"]).drop("doc_id"), width, percent)
     labels = components(links.unionByName(rest))
 
-    rows = known.select("doc_id", "n_shingles", "d1", "d2").join(classes.select("d1", "d2", "n_shingles", "rep"), ["d1", "d2", "n_shingles"], "left")
-    rows = rows.withColumn("rep", F.when(F.col("doc_id").isNotNull(), F.coalesce("rep", "doc_id")))
-    final = labelled(rows, labels, "rep", "component_id")
-    return final.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
+    # labels go to the classes first: the only join by a key that many rows share is a plain one, which Spark can split
+    named = labelled(classes.select("d1", "d2", "n_shingles", "rep"), labels, "rep", "component_id").drop("rep")
+    rows = known.select("doc_id", "n_shingles", "d1", "d2").join(named, ["d1", "d2", "n_shingles"], "left")
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
+    return rows.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
