@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACED, map_arrow, materialize, mix64, partitions, slices, utf8, words
+from .common import SPACED, discard, map_arrow, materialize, mix64, partitions, slices, utf8, words
 
 #: A pair at 0.8 misses all bands with a chance of (1 - 0.8^6)^50 = 2.5e-7.
 BANDS, PERMUTATIONS_PER_BAND = 50, 3
@@ -201,7 +201,8 @@ def components(links: DataFrame) -> DataFrame:
         large = ways.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.*").where("u <> v").distinct()
-        now = materialize(small, "links")
+        done, now = now, materialize(small, "links")
+        discard(done)
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: int = BANDS, doc: str = "doc_id", text: str = "text") -> DataFrame:
@@ -273,7 +274,10 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: i
     # of two documents in different components, one at least is astray from home
     placed = blocks(placed.where("label <> home"), "lefts", "rights", 1).unionByName(blocks(placed, "rights", "lefts", 2))
     rest = compare(placed.join(used, F.col("doc") == used["doc_id"]).drop("doc_id"), width, percent)
-    labels = components(links.unionByName(rest))
+    final = components(links.unionByName(rest))
+    for done in (met, stars, used, links, labels, members, crowd):
+        discard(done)
+    labels = final
 
     # labels go to the classes first: the only join by a key that many rows share is a plain one, which Spark can split
     named = labelled(classes.select("d1", "d2", "n_shingles", "rep"), labels, "rep", "component_id").drop("rep")
