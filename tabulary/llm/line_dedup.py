@@ -10,9 +10,14 @@ the run.
 Places whose fingerprints repeat are joined, and their matches are extended both
 ways, by the grams that lead forward and backward from every line around them.
 Each gram's first place (by document id, then position) stays; the others are
-repeats, and a run of repeated lines of ``min_words`` words is deleted (30: a
-passage of 50 loses the sentences at its ends where it is set into others). No two
-places are ever paired: a line that every document has costs one row for each.
+repeats, and a run of repeated lines of ``min_words`` words is deleted (30).
+
+A passage need not hold whole lines. So the same is done on words: the smallest
+hash of ``SPAN`` words among ``WINDOW`` neighbours is a fingerprint, so two texts
+that share ``PASSAGE`` (50) words share one, and all passages whose fingerprint
+repeats are compared, from every single word on. What an earlier place has as well
+is deleted to the word. No two places are ever paired: a line that every document
+has costs one row for each.
 """
 
 from __future__ import annotations
@@ -27,11 +32,32 @@ from pyspark.sql import functions as F
 from .common import SPACED, _powers, byte_class, map_arrow, materialize, mix64, slices, words
 
 GRAM, REACH = 16, 14
+SPAN, WINDOW = 26, 25
+PASSAGE = SPAN + WINDOW - 1
 #: Bits of the map of repeated fingerprints that all executors get (8 MB). A full
 #: map lets more places through to the exact comparison, and changes no result.
 MAP_BITS = 1 << 26
 #: A space behind one of these begins a new line.
 _ENDS = byte_class((0x21, 0x21), (0x2E, 0x2E), (0x3F, 0x3F))
+#: Tells hashes of passages from those of lines.
+_WORDS = np.int64(0x224BAED4963EE407)
+_NONE = np.iinfo(np.int64).min
+
+
+def _sliding(pick: np.ufunc, x: np.ndarray, width: int) -> np.ndarray:
+    """``pick`` over every ``width`` neighbours."""
+    step = 1
+    while 2 * step <= width:
+        x = pick(x[:-step], x[step:])
+        step *= 2
+    rest = width - step
+    return pick(x[: len(x) - rest], x[rest:])
+
+
+def _repeats(seen: np.ndarray, gram: np.ndarray) -> np.ndarray:
+    """Whether the bit map of repeated fingerprints has each gram."""
+    spot = gram % MAP_BITS
+    return (seen[spot >> 6].view(np.uint64) >> (spot & 63).astype(np.uint64)) & np.uint64(1) == 1
 
 
 class Lines:
@@ -97,12 +123,38 @@ class Lines:
             best[own] = np.where(gram[x] <= gram[y], x, y)
         return np.unique(best[ok[best]]), gram
 
+    def passages(self) -> tuple[np.ndarray, np.ndarray]:
+        """Hash of ``SPAN`` words from each word on, and the smallest of each ``PASSAGE`` words (``_NONE`` across texts)."""
+        n = len(self.hashes) - PASSAGE + 1
+        if n <= 0:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        with np.errstate(over="ignore"):
+            gram = mix64((self.sums[SPAN:] - self.sums[:-SPAN]) * self.down[: len(self.hashes) - SPAN + 1]).view(np.int64) ^ _WORDS
+        end = np.repeat(self.first[1:], np.diff(self.first))[:n]
+        return gram, np.where(np.arange(n) + PASSAGE <= end, _sliding(np.minimum, gram, WINDOW), _NONE)
+
+    def word_fingerprints(self) -> np.ndarray:
+        """Grams of all words that are the smallest of some passage."""
+        gram, low = self.passages()
+        if not len(gram):
+            return gram
+        most = _sliding(np.maximum, np.pad(low, WINDOW - 1, constant_values=_NONE), WINDOW)
+        return gram[(gram == most) & (most > _NONE)]
+
+    def word_places(self, seen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """First words of all passages whose fingerprint repeats, and the passages' hashes."""
+        _, low = self.passages()
+        own = np.flatnonzero(low > _NONE)
+        own = own[_repeats(seen, low[own])]
+        return own, self.gram(own, own + PASSAGE) ^ _WORDS
+
 
 def _fingerprint_rows(texts: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, data, at in slices(batches, "text"):
-            chosen, gram = Lines(data, at).fingerprints()
-            yield pa.RecordBatch.from_arrays([pa.array(gram[chosen], pa.int64())], names=["gram"])
+            lines = Lines(data, at)
+            chosen, gram = lines.fingerprints()
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([gram[chosen], lines.word_fingerprints()]), pa.int64())], names=["gram"])
 
     return map_arrow(texts.select("text"), run, "gram long")
 
@@ -119,7 +171,10 @@ def _repeat_map(texts: DataFrame) -> np.ndarray:
 
 
 def repeated_grams(docs: DataFrame) -> DataFrame:
-    """``doc_id, version, lo, hi``: word ranges of ``docs`` (doc_id, text, version) that an earlier place has as well."""
+    """``doc_id, version, lo, hi``: word ranges of ``docs`` (doc_id, text, version) that an earlier place has as well.
+
+    Ranges of lines end at ``hi``; where ``hi`` is ``lo``, it is a passage from there on.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(_repeat_map(docs))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -127,10 +182,9 @@ def repeated_grams(docs: DataFrame) -> DataFrame:
         for part, data, at in slices(batches, "text"):
             lines = Lines(data, at)
             chosen, gram = lines.fingerprints()
-            if len(chosen):
-                spot = gram[chosen] % MAP_BITS
-                chosen = chosen[(seen[spot >> 6].view(np.uint64) >> (spot & 63).astype(np.uint64)) & np.uint64(1) == 1]
-            if not len(chosen):
+            chosen = chosen[_repeats(seen, gram[chosen])]
+            word, word_gram = lines.word_places(seen)
+            if not len(chosen) and not len(word):
                 continue
             # lines within reach of a place that repeats, either way
             n = len(lines.head)
@@ -146,12 +200,14 @@ def repeated_grams(docs: DataFrame) -> DataFrame:
             hi = np.concatenate([lines.tail[last[f]], lines.tail[b]])
             pair = np.unique(lo * (1 << 32) + hi)
             lo, hi = pair >> 32, pair & 0xFFFFFFFF
+            gram = np.concatenate([lines.gram(lo, hi), word_gram])
+            lo, hi = np.concatenate([lo, word]), np.concatenate([hi, word])
             text = np.searchsorted(lines.first, lo, "right") - 1
             base = lines.first[text]
             yield pa.RecordBatch.from_arrays(
                 [
                     part.column(0).take(pa.array(text)), part.column(1).take(pa.array(text)),
-                    pa.array(lines.gram(lo, hi)), pa.array((lo - base).astype(np.int32)), pa.array((hi - base).astype(np.int32)),
+                    pa.array(gram), pa.array((lo - base).astype(np.int32)), pa.array((hi - base).astype(np.int32)),
                 ],
                 names=["doc_id", "version", "gram", "lo", "hi"],
             )
@@ -162,36 +218,50 @@ def repeated_grams(docs: DataFrame) -> DataFrame:
     return grams.join(firsts, "gram").where(F.struct("doc_id", "version", "lo") != F.col("own")).select("doc_id", "version", "lo", "hi")
 
 
+def _runs(covered: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the runs that hold."""
+    edge = np.flatnonzero(np.diff(np.concatenate([[0], covered.astype(np.int8), [0]])))
+    return edge[::2], edge[1::2]
+
+
 def _drop_runs(data: np.ndarray, lines: Lines, text: int, edges: np.ndarray, spans: np.ndarray, min_words: int, at: int) -> tuple[bytes, int]:
-    """Text ``text`` of a slice without its repeated runs, and how many lines that deletes.
+    """Text ``text`` of a slice without its repeated runs, and how many lines that deletes whole.
 
     ``data`` are the slice's bytes up to the text's end, ``at`` is its start.
     ``edges`` are the first lines of the slice's texts, ``spans`` word ranges
-    within the text.
+    within the text, as ``repeated_grams`` gives them.
     """
     own = slice(edges[text], edges[text + 1])
     base = lines.first[text]
     head, tail = lines.head[own] - base, lines.tail[own] - base
     n = int(tail[-1])
-    change = np.bincount(np.minimum(spans[:, 0], n), minlength=n + 1) - np.bincount(np.minimum(spans[:, 1], n), minlength=n + 1)
-    covered = np.cumsum(change)[head] > 0
-    edge = np.flatnonzero(np.diff(np.concatenate([[0], covered.astype(np.int8), [0]])))
-    begin = lines.starts[lines.head[own]]
-    parts, gone = [], 0
-    for lo, hi in zip(edge[::2], edge[1::2]):
-        if tail[hi - 1] - head[lo] >= min_words:
-            parts.append(data[at : begin[lo]].tobytes())
-            at = begin[hi] if hi < len(begin) else len(data)
-            gone += int(hi - lo)
+    whole = spans[:, 0] < spans[:, 1]
+    change = np.bincount(np.minimum(spans[whole, 0], n), minlength=n + 1) - np.bincount(np.minimum(spans[whole, 1], n), minlength=n + 1)
+    lo, hi = _runs(np.cumsum(change)[head] > 0)
+    lo, hi = head[lo], tail[hi - 1]
+    change = np.bincount(spans[~whole, 0], minlength=n + 1) - np.bincount(spans[~whole, 0] + PASSAGE, minlength=n + 1)
+    first, end = _runs(np.cumsum(change)[:n] > 0)
+    long, longer = hi - lo >= min_words, end - first >= min_words
+    lo, hi = np.concatenate([lo[long], first[longer]]), np.concatenate([hi[long], end[longer]])
+    gone = np.cumsum(np.bincount(lo, minlength=n + 1) - np.bincount(hi, minlength=n + 1))[:n] > 0
+    begin = np.append(lines.starts[base : base + n], len(data))
+    parts = []
+    for lo, hi in zip(*_runs(gone)):
+        parts.append(data[at : begin[lo]].tobytes())
+        at = begin[hi]
     parts.append(data[at:].tobytes())
-    return b"".join(parts), gone
+    left = np.concatenate([[0], np.cumsum(~gone)])
+    return b"".join(parts), int((left[head] == left[tail]).sum())
 
 
 def dedup_lines(docs: DataFrame, min_words: int = GRAM + REACH, doc: str = "doc_id", text: str = "text") -> DataFrame:
     """Per document: ``doc_id, text`` without repeated runs, ``n_lines``, ``n_removed``.
 
-    The first place of a run stays, in the order of ids and positions, also
-    within one text. A later copy of a whole text is left empty. White space
+    Every passage of ``PASSAGE`` words that an earlier place has goes to the
+    word, wherever it begins and ends, and so do whole lines of ``min_words``
+    words together; ``n_removed`` are the lines of which no word is left. The
+    first place of a run stays, in the order of ids and positions, also within
+    one text. A later copy of a whole text is left empty. White space
     and letter case do not matter in the comparison; what stays is as it was. A
     null text stays null, and a row with a null id is neither changed nor
     counted as a first place. Rows with the same id and text are one place, so

@@ -118,6 +118,60 @@ def test_passages_set_into_sentences(spark):
         assert sum(w.startswith("p") for w in left) <= 16 and sum(w[0] != "p" for w in left) == sum(w[0] != "p" for w in docs[d][1].split())
 
 
+def test_passages_anywhere(spark):
+    """Every run of 50 words that an earlier place has goes, and nothing else: brute force, with long sentences and with none."""
+    from .helpers import words
+
+    for step in (0, 70, 23):
+        rng = random.Random(step)
+        fresh = lambda n: [f"w{rng.randrange(10**9)}" for _ in range(n)]
+        passage = [f"p{k}" for k in range(51)]
+        own = {d: fresh(rng.randrange(3, 60)) + passage[d % 2 :] + fresh(rng.randrange(0, 60)) for d in range(10)}
+        own[10] = fresh(9) + passage[:49] + fresh(90)  # too short
+        own[11] = own[10][20:40] + passage * 2  # twice in one text
+        own[12] = own[10][2:30] + own[3] + own[4][1:]
+        own[13] = [f"q{k % 7}" for k in range(120)]  # only itself
+        # the earliest place of the passage's midst is not that of the whole
+        long = fresh(80)
+        own[14], own[15], own[16] = fresh(5) + long[20:55] + fresh(30), fresh(7) + long + fresh(3), fresh(8) + long[14:64] + fresh(2)
+        if step:
+            own = {d: [w + "." if int(w[1:]) % step == 0 else w for w in x] for d, x in own.items()}
+        docs = [(d, " ".join(x)) for d, x in own.items()]
+        first, left = {}, {}
+        for d, text in docs:
+            w = words(text)
+            gone = [False] * len(w)
+            for i in range(len(w) - 49):
+                if first.setdefault(tuple(w[i : i + 50]), (d, i)) != (d, i):
+                    gone[i : i + 50] = [True] * 50
+            left[d] = [x for x, g in zip(w, gone) if not g]
+        got = result(spark.createDataFrame(docs, "doc_id long, text string"))
+        assert sum(len(left[d]) < len(own[d]) for d in own) == 13
+        if not step:
+            assert {d: words(got[d][0]) for d in got} == left
+        for d in own:  # whole lines of 30 words may go besides
+            rest = iter(left[d])
+            assert all(x in rest for x in words(got[d][0]))
+
+
+def test_passages_in_the_table(spark):
+    """No run of 50 words that an earlier document has in the given table is left whole or in part."""
+    from .helpers import words
+
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    got, first, extra = result(docs), {}, 0
+    for d, text in sorted(map(tuple, docs.collect())):
+        w = words(text)
+        gone = [False] * len(w)
+        for i in range(len(w) - 49):
+            if first.setdefault(tuple(w[i : i + 50]), (d, i)) != (d, i):
+                gone[i : i + 50] = [True] * 50
+        rest, kept = iter([x for x, g in zip(w, gone) if not g]), words(got[d][0])
+        assert all(x in rest for x in kept), d
+        extra += sum(gone)
+    assert extra > 9000
+
+
 def test_hard_rows(spark):
     got = ld.dedup_lines(hard_docs(spark)).collect()
     assert len(got) == len(hard_rows())
