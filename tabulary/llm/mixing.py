@@ -16,12 +16,15 @@ def word_count(text: Column) -> Column:
 def water_fill(sizes: dict, weights: dict, budget: float, epochs: int) -> dict:
     """Shares of ``budget`` in proportion to the weights, none above ``epochs`` times its size.
 
-    What a full source leaves over is shared again among the rest by weight.
+    What a full source leaves over is shared again among the rest by weight; a
+    source of weight 0 gets none of it.
     """
     targets = dict.fromkeys(sizes, 0.0)
     open_, left = set(sizes), float(budget)
     while open_ and left > 0:
         total = sum(weights[s] for s in sorted(open_, key=str))
+        if not total:
+            break
         full = {s for s in open_ if weights[s] * left / total >= epochs * sizes[s]}
         if not full:
             return targets | {s: weights[s] * left / total for s in open_}
@@ -57,7 +60,7 @@ def mix(
     less than that, the sum of all targets ends the mix too.
 
     ``weights`` maps a source to its weight (default: :func:`ranked_weights`).
-    A null text has size 0, and a document of size 0 is never taken; a null
+    Of a source of weight 0 nothing is taken. A null text has size 0, and a document of size 0 is never taken; a null
     source is a source of its own; repeated rows are documents of their own;
     an empty table gives no rows; other columns are ignored. The driver holds
     one number per source.
@@ -94,7 +97,9 @@ def mix(
         "finish",
         F.when(F.col("target") > 0, (F.col("epoch") * F.col("source_size") + F.col("cum")) / F.col("target")),
     )
-    sorted_ = running_total(copies, ["finish", "rank", "epoch", *own], "size", "reached")
+    # what has no finish time is never taken, and must not use up the budget
+    copies = copies.withColumn("queued", F.when(F.col("finish").isNotNull(), F.col("size")).otherwise(F.lit(0)))
+    sorted_ = running_total(copies, ["finish", "rank", "epoch", *own], "queued", "reached")
     discard(sized)
     discard(ranked_rows)
     in_ = (F.col("size") > 0) & F.col("finish").isNotNull() & (F.col("reached") <= budget)

@@ -62,3 +62,14 @@ def test_given_weights_and_fraction(spark):
     docs = spark.createDataFrame([(i, "a b c d e", "x" if i % 2 else "y") for i in range(400)], "doc_id long, text string, source string")
     got = mixing.mix(docs, weights={"x": 1, "y": 3}, fraction=0.4).groupBy("source").sum("taken").collect()
     assert {r[0]: r[1] for r in got} == {"x": pytest.approx(200, abs=5), "y": pytest.approx(600, abs=5)}
+
+
+def test_a_weight_of_zero_takes_nothing_from_the_others(spark):
+    docs = spark.createDataFrame([(i, f"word{i} of ten " * 5, "abc"[i % 3]) for i in range(90)], "doc_id long, text string, source string")
+    taken = {}
+    for r in mixing.mix(docs, weights={"a": 0, "b": 1, "c": 1}).collect():
+        taken[r.source] = taken.get(r.source, 0) + r.taken
+    assert taken == {"a": 0, "b": 675, "c": 675}  # half of 1350 words each
+    assert mixing.water_fill({"a": 100, "b": 10}, {"a": 0, "b": 1}, 110, 3) == {"a": 0.0, "b": 30.0}
+    taken = {r.source: r.taken for r in mixing.mix(docs.where("doc_id < 2"), weights={"a": 0, "b": 1}).collect()}
+    assert taken == {"a": 0, "b": 30}
