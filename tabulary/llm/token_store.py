@@ -50,12 +50,13 @@ _LETTER = byte_class((0x41, 0x5A), (0x61, 0x7A))
 _STOP = byte_class((0x21, 0x2F), (0x3A, 0x40), (0x5B, 0x60), (0x7B, 0x7E))
 
 
-def safe_cuts(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+def safe_cuts(data: np.ndarray, at: np.ndarray, added: tuple[bytes, ...] = ()) -> np.ndarray:
     """Places where a byte-level BPE with the usual word pattern never has a token across.
 
     These are the texts' starts; a lone space between visible characters
     (ASCII, or two bytes from 0xC3 on: Latin-1 letters); both sides of such a
     lone line feed; and the place between such a letter and ASCII punctuation.
+    None lies inside one of the strings ``added``, which are tokens as they are.
     """
     n = len(data)
     latin = np.zeros(n, bool)  # last byte of a two-byte character
@@ -69,6 +70,12 @@ def safe_cuts(data: np.ndarray, at: np.ndarray) -> np.ndarray:
         cut[1:-1] = between & ((data[1:-1] == 0x20) | (data[1:-1] == 0x0A))
         cut[2:] |= between & (data[1:-1] == 0x0A)
         cut[1:] |= (_LETTER[data[:-1]] | (latin[:-1] & ~sign[:-1])) & _STOP[data[1:]]
+    raw = data.tobytes() if added else b""
+    for token in added:
+        place = raw.find(token)
+        while place >= 0:
+            cut[place + 1 : place + len(token)] = False
+            place = raw.find(token, place + 1)
     # neighbours of another text do not count
     starts = at[:-1][np.diff(at) > 0]
     for shift, kind in ((0, None), (1, 0x0A), (-1, None)):
@@ -86,9 +93,7 @@ def _tokenizer(path: str):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True  # their strings inside a text are ordinary text
-    return tokenizer
+    return Tokenizer.from_file(path)
 
 
 class WordCache:
@@ -96,6 +101,7 @@ class WordCache:
 
     def __init__(self, path: str):
         self.tokenizer = _tokenizer(path)
+        self.added = tuple(t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values())
         self.clear()
 
     def clear(self) -> None:
@@ -117,7 +123,7 @@ class WordCache:
 
     def encode(self, data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and the number of ids of each text."""
-        cuts = safe_cuts(data, at)
+        cuts = safe_cuts(data, at, self.added)
         if not len(cuts):
             return np.zeros(0, np.uint32), np.zeros(len(at) - 1, np.int64)
         ends = np.append(cuts[1:], len(data))

@@ -37,6 +37,16 @@ def test_known_hard_texts():
     assert encoded(texts) == [ids(t) for t in texts]
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(["<|endoftext|>", "<|endof", "text|>", "<|", "a", "B1", " ", "\n", ".", "é", "|>"]), max_size=12).map("".join), min_size=1, max_size=4))
+def test_special_tokens_inside_texts(texts):
+    from tokenizers import Tokenizer
+
+    assert encoded(["a<|endoftext|>b"]) == [[64, 50256, 65]]
+    plain = Tokenizer.from_file(PATH)
+    assert encoded(texts) == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 @pytest.mark.parametrize("n", [0, 1, 2, 1000, 50_000])
 def test_perfect_hash(n):
     keys = np.arange(n, dtype=np.int64) * 7 - 3
