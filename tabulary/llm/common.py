@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
 import tempfile
 import uuid
@@ -9,6 +10,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -26,10 +28,13 @@ def shared_dir(spark: SparkSession) -> str:
     """A new folder that the driver and every executor can reach.
 
     It lies in ``spark.checkpoint.dir``. Only where the session has no such
-    setting (tests in one JVM) is a temporary folder of this machine used.
+    setting and runs in one JVM (tests) is a temporary folder of this machine
+    used; a cluster without the setting is refused.
     """
     base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not re.match(r"local($|\[)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="tabulary-")
         spark.conf.set("spark.checkpoint.dir", base)
     where = spark._jvm.org.apache.hadoop.fs.Path(base)
@@ -90,6 +95,39 @@ def running_total(df: DataFrame, order: list[str], value: str, out: str = "total
     return summed
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, lengthened until no column of ``df`` has them, in whatever case."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return out
+
+
+def quoted(name: str):
+    """The column of exactly this name."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def identified(docs: DataFrame, doc: str) -> tuple[DataFrame, str]:
+    """``docs`` with a column that tells all rows apart, and its name.
+
+    It sorts by ``doc`` (null last), then by the row's place in its file, which
+    is the same whenever and wherever the file is read. What does not come from
+    files is written first.
+    """
+    (name,) = fresh(docs, "_row")
+    try:
+        docs.select("_metadata.row_index")
+    except AnalysisException:
+        docs = materialize(docs, "rows")
+    place = [F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row")]
+    key = F.struct(quoted(doc).isNull().alias("none"), F.coalesce(quoted(doc).cast("long"), F.lit(0)).alias("id"), *place)
+    return docs.select("*", key.alias(name)), name
+
+
 def is_member(remainder_of: str, modulus: int, remainder: int):
     """Column: crc32 of the id's text leaves ``remainder`` (false for a null id)."""
     return F.coalesce(F.crc32(F.col(remainder_of).cast("string").cast("binary")) % modulus == remainder, F.lit(False))
@@ -136,12 +174,6 @@ SPACED = ~byte_class((0x20, 0x20), (0x09, 0x0D))
 #: Bytes of the words ``[^\x00-\x2F\x3A-\x60\x7B-\x7F]+`` once A-Z are lower case.
 ALNUM = byte_class((0x30, 0x39), (0x41, 0x5A), (0x61, 0x7A), (0x80, 0xFF))
 
-_MULT = np.uint64(0x9E3779B97F4A7C15)
-
-
-def _inverse(odd: int) -> int:
-    return pow(odd, -1, 1 << 64)
-
 
 def mix64(x: np.ndarray) -> np.ndarray:
     """Finish a 64-bit hash: every output bit depends on every input bit."""
@@ -152,50 +184,68 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-_LETTERS = mix64(np.arange(1, 257, dtype=np.uint64) * _MULT)
-_LOWER = _LETTERS.copy()
-_LOWER[0x41:0x5B] = _LETTERS[0x61:0x7B]
-_WINDOW = 1 << 17
-_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+_MULT = np.uint64(0x9E3779B97F4A7C15)
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[0x41:0x5B] += 32
+#: Masks for the first k bytes of eight.
+_FIRST = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+#: Longer spans are hashed one at a time.
+_LONG = 256
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    size = max(_WINDOW, 1 << (n - 1).bit_length())
-    if size not in _POWERS:
-        with np.errstate(over="ignore"):
-            up = np.full(size + 1, _MULT, np.uint64)
-            up[0] = 1
-            down = np.full(size + 1, np.uint64(_inverse(int(_MULT))), np.uint64)
-            down[0] = 1
-            powers = np.multiply.accumulate(up), np.multiply.accumulate(down)
-        if size > 2 * _WINDOW:  # rare, and large
-            return powers
-        _POWERS[size] = powers
-    return _POWERS[size]
+def chain(acc: np.ndarray, more: np.ndarray) -> np.ndarray:
+    """A hash of the sequence that ``acc`` stands for with ``more`` behind it."""
+    with np.errstate(over="ignore"):
+        return mix64((acc * _MULT) ^ more)
 
 
-def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, letters: np.ndarray = _LETTERS) -> np.ndarray:
-    """64-bit hashes of the byte spans, in windows of bounded memory.
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool = False) -> np.ndarray:
+    """64-bit hashes of the byte spans, with A-Z as a-z if ``lower``.
 
-    A span's hash is the polynomial of its bytes' random values; prefix sums
-    give all of them at once, whatever the spans' lengths.
+    Eight bytes at a time go through a bijection of 64 bits, so spans of up to
+    eight bytes and of the same length never collide, and no sum over letters
+    lets patterns cancel out. Long spans take BLAKE2.
     """
-    out = np.empty(len(starts), np.uint64)
-    lo = 0
+    if lower:
+        data = _LOWER[data]
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    eight = np.ndarray(len(data) + 1, "<u8", padded, strides=(1,))  # the eight bytes from each byte on
+    size = ends - starts
     with np.errstate(over="ignore"):
-        while lo < len(starts):
-            first = starts[lo]
-            hi = max(lo + 1, int(np.searchsorted(ends, first + _WINDOW, "right")))
-            piece = letters[data[first : ends[hi - 1]]]
-            up, down = _powers(len(piece))
-            sums = np.zeros(len(piece) + 1, np.uint64)
-            np.cumsum(piece * up[: len(piece)], out=sums[1:])
-            s, e = starts[lo:hi] - first, ends[lo:hi] - first
-            out[lo:hi] = mix64((sums[e] - sums[s]) * down[s] + (e - s).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
-            lo = hi
+        out = chain(mix64(size.astype(np.uint64) + _MULT), eight[starts] & _FIRST[np.minimum(size, 8)])
+    open_, done = np.flatnonzero((size > 8) & (size <= _LONG)), 8
+    while len(open_):
+        left = size[open_] - done
+        out[open_] = chain(out[open_], eight[starts[open_] + done] & _FIRST[np.minimum(left, 8)])
+        open_, done = open_[left > 8], done + 8
+    for i in np.flatnonzero(size > _LONG).tolist():
+        out[i] = int.from_bytes(hashlib.blake2b(data[starts[i] : ends[i]].data, digest_size=8).digest(), "little")
     return out
 
 
+def ramp(first: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """``first[i], first[i] + 1, ..`` (``count[i]`` numbers) of every i, one after the other."""
+    upto = np.cumsum(count)
+    full = np.flatnonzero(count)
+    if not len(full):
+        return np.zeros(0, np.int64)
+    step = np.ones(int(upto[-1]), np.int64)
+    heads = (upto - count)[full]
+    step[heads[0]] = first[full[0]]
+    step[heads[1:]] = first[full[1:]] - first[full[:-1]] - count[full[:-1]] + 1
+    return np.cumsum(step)
+
+
+def numbered_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """A number for each span, the same for two spans if and only if their bytes are the same."""
+    _, sample, place = np.unique(hashes, return_index=True, return_inverse=True)
+    size, twin = ends - starts, sample[place]
+    if (size == size[twin]).all() and np.array_equal(data[ramp(starts, size)], data[ramp(starts[twin], size)]):
+        return place
+    known: dict[bytes, int] = {}  # a collision
+    return np.array([known.setdefault(data[a:b].tobytes(), len(known)) for a, b in zip(starts, ends)], np.int64)
+
+
 def words(data: np.ndarray, at: np.ndarray, kind: np.ndarray, lower: bool = True, hashed: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """All words of the texts in a slice: their hashes, starts (in bytes), and each text's first word.
 
@@ -217,5 +267,5 @@ def words(data: np.ndarray, at: np.ndarray, kind: np.ndarray, lower: bool = True
     else:
         starts = np.flatnonzero(edge[:-1] & inside)
         ends = np.flatnonzero(edge[1:] & inside) + 1
-    hashes = span_hashes(data, starts, ends, _LOWER if lower else _LETTERS) if hashed else np.zeros(len(starts), np.uint64)
+    hashes = span_hashes(data, starts, ends, lower) if hashed else np.zeros(len(starts), np.uint64)
     return hashes, starts, np.searchsorted(starts, at, "left")

@@ -1,23 +1,25 @@
-"""Line deduplication by winnowing over line hashes.
-
-A text is a sequence of lines; a line that holds several sentences is cut behind
-them, so that a passage need not begin and end where lines do. The hash of the
-lines that make up ``GRAM`` words from some line on is that place's gram. Of all
-grams that start within ``REACH`` words, the smallest is a fingerprint: two
-texts that share a run of ``GRAM + REACH`` words share one, whatever surrounds
-the run.
-
-Places whose fingerprints repeat are joined, and their matches are extended both
-ways, by the grams that lead forward and backward from every line around them.
-Each gram's first place (by document id, then position) stays; the others are
-repeats, and a run of repeated lines of ``min_words`` words is deleted (30).
-
-A passage need not hold whole lines. So the same is done on words: the smallest
-hash of ``SPAN`` words among ``WINDOW`` neighbours is a fingerprint, so two texts
-that share ``PASSAGE`` (50) words share one, and all passages whose fingerprint
-repeats are compared, from every single word on. What an earlier place has as well
-is deleted to the word. No two places are ever paired: a line that every document
-has costs one row for each.
+"""Line deduplication by winnowing.
+
+Every run of ``SPAN`` words of a text's lines has a hash, whatever line ends or
+sentences it crosses, so that a passage may begin and end anywhere. Of each
+``WINDOW`` neighbouring hashes the smallest is a fingerprint: two texts that
+share a run of ``PASSAGE`` (50) words share one, at the same place of the run.
+
+Places whose fingerprint repeats are joined with the first place that matches,
+and the match is extended both ways:
+
+1. A place's neighbourhood is its fingerprint with ``SIDE`` words on either side,
+   as far as its text goes. A place with the neighbourhood of an earlier one
+   matches it over the whole of it.
+2. Of places that have the same fingerprint but not the same neighbourhood, the
+   first of each neighbourhood is extended step by step: each run of ``PASSAGE``
+   words around its fingerprint is joined with the first place that has that run.
+
+Both find runs of ``PASSAGE`` words or more that one earlier place has whole, and
+together they find all of them. A text's repeated run is what overlapping
+matches cover; it is deleted to the word, so that a passage's first place stays.
+Places are joined with first places alone, never with each other: a line that
+every document has costs a row for each.
 """
 
 from __future__ import annotations
@@ -29,18 +31,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACED, _powers, byte_class, map_arrow, materialize, mix64, slices, words
+from .common import SPACED, chain, map_arrow, materialize, ramp, slices, words
 
-GRAM, REACH = 16, 14
 SPAN, WINDOW = 26, 25
-PASSAGE = SPAN + WINDOW - 1
+SIDE = WINDOW - 1
+PASSAGE = SPAN + SIDE
 #: Bits of the map of repeated fingerprints that all executors get (8 MB). A full
 #: map lets more places through to the exact comparison, and changes no result.
 MAP_BITS = 1 << 26
-#: A space behind one of these begins a new line.
-_ENDS = byte_class((0x21, 0x21), (0x2E, 0x2E), (0x3F, 0x3F))
-#: Tells hashes of passages from those of lines.
-_WORDS = np.int64(0x224BAED4963EE407)
 _NONE = np.iinfo(np.int64).min
 
 
@@ -54,114 +52,84 @@ def _sliding(pick: np.ufunc, x: np.ndarray, width: int) -> np.ndarray:
     return pick(x[: len(x) - rest], x[rest:])
 
 
-def _repeats(seen: np.ndarray, gram: np.ndarray) -> np.ndarray:
-    """Whether the bit map of repeated fingerprints has each gram."""
-    spot = gram % MAP_BITS
-    return (seen[spot >> 6].view(np.uint64) >> (spot & 63).astype(np.uint64)) & np.uint64(1) == 1
-
-
-class Lines:
-    """Lines of the texts of a slice, as ranges of words. Without ``hashed``, they have no grams."""
-
-    def __init__(self, data: np.ndarray, at: np.ndarray, hashed: bool = True):
-        self.hashes, self.starts, self.first = words(data, at, SPACED, hashed=hashed)
-        starts = np.zeros(len(data) + 1, bool)
-        starts[at[:-1]] = True
-        starts[1:] |= data == 0x0A
-        if len(data):
-            starts[2:] |= (data[1:] == 0x20) & _ENDS[data[:-1]]
-        heads = np.searchsorted(self.starts, np.flatnonzero(starts))
-        heads = heads[heads < len(self.hashes)]
-        self.head = heads[np.append(True, heads[1:] != heads[:-1])[: len(heads)]]  # first word of each line
-        self.tail = np.append(self.head[1:], len(self.hashes))  # word behind each line
-        self.text = np.searchsorted(self.first, self.head, "right") - 1
-        if not hashed:
-            return
-        with np.errstate(over="ignore"):
-            up, self.down = _powers(max(1, len(self.hashes)))
-            self.sums = np.zeros(len(self.hashes) + 1, np.uint64)
-            np.cumsum(self.hashes * up[: len(self.hashes)], out=self.sums[1:])
-
-    def gram(self, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
-        """Hash of the words from ``lo`` up to ``hi``."""
-        with np.errstate(over="ignore"):
-            return mix64((self.sums[hi] - self.sums[lo]) * self.down[lo] + (hi - lo).astype(np.uint64)).view(np.int64)
-
-    def forward(self, width: int) -> tuple[np.ndarray, np.ndarray]:
-        """Last line of the gram that starts at each line, and whether its text has enough words."""
-        line = np.searchsorted(self.tail, self.head + width)
-        end = self.first[self.text + 1]
-        ok = self.head + width <= end
-        return np.where(ok, np.minimum(line, len(self.tail) - 1), 0), ok
-
-    def backward(self, width: int) -> tuple[np.ndarray, np.ndarray]:
-        """First line of the gram that ends at each line."""
-        line = np.searchsorted(self.head, self.tail - width, "right") - 1
-        ok = self.tail - width >= self.first[self.text]
-        return np.where(ok, np.maximum(line, 0), 0), ok
-
-    def fingerprints(self) -> tuple[np.ndarray, np.ndarray]:
-        """Lines (sorted) whose gram is the smallest of some reach, and all lines' grams."""
-        n = len(self.head)
-        if not n:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        last, ok = self.forward(GRAM)
-        gram = np.where(ok, self.gram(self.head, np.maximum(self.tail[last], self.head)), np.iinfo(np.int64).max)
-        upto = np.minimum(np.searchsorted(self.head, self.head + REACH), np.searchsorted(self.text, self.text, "right"))
-        # minima over ranges of any length, from those over powers of two
-        level, best, step = [np.arange(n)], np.arange(n), 1
-        span = upto - np.arange(n)
-        while 2 * step <= span.max():
-            a = level[-1]
-            b = a[np.minimum(np.arange(n) + step, n - 1)]
-            level.append(np.where(gram[a] <= gram[b], a, b))
-            step *= 2
-        k = np.frexp(span)[1] - 1
-        for power, a in enumerate(level):
-            own = np.flatnonzero(k == power)
-            x, y = a[own], a[upto[own] - (1 << power)]
-            best[own] = np.where(gram[x] <= gram[y], x, y)
-        return np.unique(best[ok[best]]), gram
-
-    def passages(self) -> tuple[np.ndarray, np.ndarray]:
-        """Hash of ``SPAN`` words from each word on, and the smallest of each ``PASSAGE`` words (``_NONE`` across texts)."""
-        n = len(self.hashes) - PASSAGE + 1
+class Runs:
+    """Hashes of runs of words, from those of runs half as long."""
+
+    def __init__(self, hashes: np.ndarray):
+        self.level = [hashes]
+        while len(self.level) < 7 and len(x := self.level[-1]) > (step := 1 << len(self.level) - 1):
+            self.level.append(chain(x[:-step], x[step:]))
+
+    def every(self, width: int) -> np.ndarray:
+        """Of ``width`` words from each word on."""
+        n = len(self.level[0]) - width + 1
+        acc, done = None, 0
+        for k in range(len(self.level) - 1, -1, -1):
+            if width >> k & 1:
+                piece = self.level[k][done : done + n]
+                acc = piece if acc is None else chain(acc, piece)
+                done += 1 << k
+        return acc
+
+    def of(self, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """Of each run; ``size`` is less than 128."""
+        acc, at = size.astype(np.uint64), start.copy()
+        for k in range(len(self.level) - 1, -1, -1):
+            own = np.flatnonzero(size >> k & 1)
+            acc[own] = chain(acc[own], self.level[k][at[own]])
+            at[own] += 1 << k
+        return acc
+
+
+class Places:
+    """Fingerprints of the texts of a slice."""
+
+    def __init__(self, data: np.ndarray, at: np.ndarray):
+        hashes, _, self.first = words(data, at, SPACED)
+        n = len(hashes) - PASSAGE + 1
+        self.at = np.zeros(0, np.int64)
         if n <= 0:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        with np.errstate(over="ignore"):
-            gram = mix64((self.sums[SPAN:] - self.sums[:-SPAN]) * self.down[: len(self.hashes) - SPAN + 1]).view(np.int64) ^ _WORDS
+            self.gram = self.at
+            return
+        self.runs = Runs(hashes)
+        gram = self.runs.every(SPAN).view(np.int64)
         end = np.repeat(self.first[1:], np.diff(self.first))[:n]
-        return gram, np.where(np.arange(n) + PASSAGE <= end, _sliding(np.minimum, gram, WINDOW), _NONE)
+        # the smallest hash of each run of PASSAGE words, of those that lie in one text
+        self.low = np.where(np.arange(n) + PASSAGE <= end, _sliding(np.minimum, gram, WINDOW), _NONE)
+        most = _sliding(np.maximum, np.pad(self.low, SIDE, constant_values=_NONE), WINDOW)
+        self.at = np.flatnonzero((gram == most) & (most > _NONE))
+        self.gram = gram[self.at]
+
+    def keep(self, wanted: np.ndarray) -> None:
+        self.at, self.gram = self.at[wanted], self.gram[wanted]
+
+    def rows(self) -> dict[str, np.ndarray]:
+        """Of each place: text, first word, words that its neighbourhood has on the left and in all, and its hash."""
+        text = np.searchsorted(self.first, self.at, "right") - 1
+        left = np.minimum(SIDE, self.at - self.first[text])
+        size = left + SPAN + np.minimum(SIDE, self.first[text + 1] - self.at - SPAN)
+        around = chain(self.runs.of(self.at - left, size), left.astype(np.uint64)).view(np.int64)
+        return {"text": text, "at": self.at - self.first[text], "left": left, "size": size, "around": around}
+
+    def passages(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of each place: the first of the runs of PASSAGE words in which it is smallest, their number, and all places' runs' hashes."""
+        start = self.at[:, None] - np.arange(SIDE, -1, -1)
+        known = np.clip(start, 0, len(self.low) - 1)
+        own = (start == known) & (self.low[known] == self.gram[:, None])
+        count = own.sum(axis=1)
+        first = self.at - SIDE + own.argmax(axis=1)
+        start = ramp(first, count)
+        return first, count, self.runs.of(start, np.full(len(start), PASSAGE)).view(np.int64)
 
-    def word_fingerprints(self) -> np.ndarray:
-        """Grams of all words that are the smallest of some passage."""
-        gram, low = self.passages()
-        if not len(gram):
-            return gram
-        most = _sliding(np.maximum, np.pad(low, WINDOW - 1, constant_values=_NONE), WINDOW)
-        return gram[(gram == most) & (most > _NONE)]
-
-    def word_places(self, seen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """First words of all passages whose fingerprint repeats, and the passages' hashes."""
-        _, low = self.passages()
-        own = np.flatnonzero(low > _NONE)
-        own = own[_repeats(seen, low[own])]
-        return own, self.gram(own, own + PASSAGE) ^ _WORDS
 
+def _repeat_map(texts: DataFrame) -> np.ndarray:
+    """Bit map of the fingerprints that occur more than once."""
 
-def _fingerprint_rows(texts: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, data, at in slices(batches, "text"):
-            lines = Lines(data, at)
-            chosen, gram = lines.fingerprints()
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([gram[chosen], lines.word_fingerprints()]), pa.int64())], names=["gram"])
-
-    return map_arrow(texts.select("text"), run, "gram long")
+            yield pa.RecordBatch.from_arrays([pa.array(Places(data, at).gram)], names=["gram"])
 
-
-def _repeat_map(texts: DataFrame) -> np.ndarray:
-    """Bit map of the fingerprints that occur more than once."""
-    repeated = _fingerprint_rows(texts).groupBy("gram").agg(F.count("*").alias("n")).where("n > 1")
+    repeated = map_arrow(texts.select("text"), run, "gram long").groupBy("gram").agg(F.count("*").alias("n")).where("n > 1")
     bit = F.pmod(F.col("gram"), F.lit(MAP_BITS))
     cells = repeated.groupBy(F.floor(bit / 64).cast("int").alias("cell")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), (bit % 64).cast("int"))).alias("bits"))
     got = cells.toArrow()  # at most MAP_BITS / 64 rows
@@ -170,129 +138,110 @@ def _repeat_map(texts: DataFrame) -> np.ndarray:
     return out
 
 
-def repeated_grams(docs: DataFrame) -> DataFrame:
-    """``doc_id, version, lo, hi``: word ranges of ``docs`` (doc_id, text, version) that an earlier place has as well.
+def _repeats(seen: np.ndarray, gram: np.ndarray) -> np.ndarray:
+    """Whether the bit map of repeated fingerprints has each gram."""
+    spot = gram % MAP_BITS
+    return (seen[spot >> 6].view(np.uint64) >> (spot & 63).astype(np.uint64)) & np.uint64(1) == 1
+
 
-    Ranges of lines end at ``hi``; where ``hi`` is ``lo``, it is a passage from there on.
-    """
+def _later(places: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """The places that are not the first of their key, and the first of each key (``key, own``)."""
+    place = F.struct("doc_id", "version", "at")
+    # written, so that both sides of the join are plain shuffles and Spark can split a key that very many places have
+    firsts = materialize(places.groupBy(key).agg(F.min(place).alias("own")), "firsts")
+    return places.join(firsts, key).where(place != F.col("own")), firsts
+
+
+def repeated_runs(docs: DataFrame) -> DataFrame:
+    """``doc_id, version, lo, hi``: word ranges of ``docs`` (doc_id, text, version) that one earlier place has whole, PASSAGE words at least."""
     shared = docs.sparkSession.sparkContext.broadcast(_repeat_map(docs))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = shared.value
         for part, data, at in slices(batches, "text"):
-            lines = Lines(data, at)
-            chosen, gram = lines.fingerprints()
-            chosen = chosen[_repeats(seen, gram[chosen])]
-            word, word_gram = lines.word_places(seen)
-            if not len(chosen) and not len(word):
+            places = Places(data, at)
+            places.keep(_repeats(shared.value, places.gram))
+            if not len(places.at):
                 continue
-            # lines within reach of a place that repeats, either way
-            n = len(lines.head)
-            near = np.zeros(n + 1, np.int64)
-            np.add.at(near, np.searchsorted(lines.head, lines.head[chosen] - REACH - GRAM), 1)
-            last, ok = lines.forward(GRAM)
-            np.subtract.at(near, np.searchsorted(lines.head, lines.tail[last[chosen]] + REACH + GRAM, "right"), 1)
-            near = np.cumsum(near)[:n] > 0
-            f = np.flatnonzero(ok & near)
-            back, ok = lines.backward(GRAM)
-            b = np.flatnonzero(ok & near)
-            lo = np.concatenate([lines.head[f], lines.head[back[b]]])
-            hi = np.concatenate([lines.tail[last[f]], lines.tail[b]])
-            pair = np.unique(lo * (1 << 32) + hi)
-            lo, hi = pair >> 32, pair & 0xFFFFFFFF
-            gram = np.concatenate([lines.gram(lo, hi), word_gram])
-            lo, hi = np.concatenate([lo, word]), np.concatenate([hi, word])
-            text = np.searchsorted(lines.first, lo, "right") - 1
-            base = lines.first[text]
+            row = places.rows()
+            begin, count, passages = places.passages()
+            text = pa.array(row["text"])
             yield pa.RecordBatch.from_arrays(
                 [
-                    part.column(0).take(pa.array(text)), part.column(1).take(pa.array(text)),
-                    pa.array(gram), pa.array((lo - base).astype(np.int32)), pa.array((hi - base).astype(np.int32)),
+                    part.column(0).take(text), part.column(1).take(text), pa.array(places.gram), pa.array(row["around"]),
+                    *(pa.array(x.astype(np.int32)) for x in (row["at"], row["left"], row["size"], row["at"] + begin - places.at)),
+                    pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(count)]), pa.int32()), pa.array(passages)),
                 ],
-                names=["doc_id", "version", "gram", "lo", "hi"],
+                names=["doc_id", "version", "gram", "around", "at", "left", "size", "begin", "passages"],
             )
 
-    grams = materialize(map_arrow(docs.select("doc_id", "version", "text"), run, "doc_id long, version long, gram long, lo int, hi int"), "grams")
-    firsts = grams.groupBy("gram").agg(F.min(F.struct("doc_id", "version", "lo")).alias("own"), F.count("*").alias("n")).where("n > 1").drop("n")
-    firsts = materialize(firsts, "firsts")  # with plain shuffles on both sides, Spark can split a gram that very many places have
-    return grams.join(firsts, "gram").where(F.struct("doc_id", "version", "lo") != F.col("own")).select("doc_id", "version", "lo", "hi")
-
-
-def _runs(covered: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and ends of the runs that hold."""
-    edge = np.flatnonzero(np.diff(np.concatenate([[0], covered.astype(np.int8), [0]])))
-    return edge[::2], edge[1::2]
-
-
-def _drop_runs(data: np.ndarray, lines: Lines, text: int, edges: np.ndarray, spans: np.ndarray, min_words: int, at: int) -> tuple[bytes, int]:
-    """Text ``text`` of a slice without its repeated runs, and how many lines that deletes whole.
-
-    ``data`` are the slice's bytes up to the text's end, ``at`` is its start.
-    ``edges`` are the first lines of the slice's texts, ``spans`` word ranges
-    within the text, as ``repeated_grams`` gives them.
-    """
-    own = slice(edges[text], edges[text + 1])
-    base = lines.first[text]
-    head, tail = lines.head[own] - base, lines.tail[own] - base
-    n = int(tail[-1])
-    whole = spans[:, 0] < spans[:, 1]
-    change = np.bincount(np.minimum(spans[whole, 0], n), minlength=n + 1) - np.bincount(np.minimum(spans[whole, 1], n), minlength=n + 1)
-    lo, hi = _runs(np.cumsum(change)[head] > 0)
-    lo, hi = head[lo], tail[hi - 1]
-    change = np.bincount(spans[~whole, 0], minlength=n + 1) - np.bincount(spans[~whole, 0] + PASSAGE, minlength=n + 1)
-    first, end = _runs(np.cumsum(change)[:n] > 0)
-    long, longer = hi - lo >= min_words, end - first >= min_words
-    lo, hi = np.concatenate([lo[long], first[longer]]), np.concatenate([hi[long], end[longer]])
-    gone = np.cumsum(np.bincount(lo, minlength=n + 1) - np.bincount(hi, minlength=n + 1))[:n] > 0
-    begin = np.append(lines.starts[base : base + n], len(data))
-    parts = []
-    for lo, hi in zip(*_runs(gone)):
-        parts.append(data[at : begin[lo]].tobytes())
-        at = begin[hi]
-    parts.append(data[at:].tobytes())
-    left = np.concatenate([[0], np.cumsum(~gone)])
-    return b"".join(parts), int((left[head] == left[tail]).sum())
-
-
-def dedup_lines(docs: DataFrame, min_words: int = GRAM + REACH, doc: str = "doc_id", text: str = "text") -> DataFrame:
+    schema = "doc_id long, version long, gram long, around long, at int, left int, size int, begin int, passages array<long>"
+    places = materialize(map_arrow(docs.select("doc_id", "version", "text"), run, schema), "places")
+    light = places.drop("passages", "begin")
+    later, firsts = _later(light, "around")
+    whole = later.where(F.col("size") >= PASSAGE).select("doc_id", "version", (F.col("at") - F.col("left")).alias("lo"), (F.col("at") - F.col("left") + F.col("size")).alias("hi"))
+
+    # fingerprints with several neighbourhoods
+    mixed = materialize(light.select("gram", "around").distinct().groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram"), "mixed")
+    kinds = firsts.select("around", "own.*")
+    apart = places.join(kinds, ["around", "doc_id", "version", "at"], "left_semi").join(mixed, "gram", "left_semi")
+    steps = apart.select("doc_id", "version", F.posexplode("passages").alias("k", "passage"), "begin")
+    steps = materialize(steps.select("doc_id", "version", "passage", (F.col("begin") + F.col("k")).alias("at")), "steps")
+    stepped = _later(steps, "passage")[0].select("doc_id", "version", F.col("at").alias("lo"), (F.col("at") + PASSAGE).alias("hi"))
+    return whole.unionByName(stepped)
+
+
+def without(data: np.ndarray, at: np.ndarray, spans: tuple[np.ndarray, np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The texts of a slice without ``spans`` (text, first word, word behind), their offsets, each text's lines, and those left without a word."""
+    _, starts, first = words(data, at, SPACED, hashed=False)
+    n = len(starts)
+    text, lo, hi = spans
+    change = np.bincount(first[text] + lo, minlength=n + 1) - np.bincount(first[text] + hi, minlength=n + 1)
+    gone = np.cumsum(change)[:n] > 0
+    # a word goes with all up to the next one
+    until = np.append(starts[1:], len(data))
+    owner = np.repeat(np.arange(len(at) - 1), np.diff(first))
+    until = np.minimum(until, at[owner + 1])
+    change = np.bincount(starts[gone], minlength=len(data) + 1) - np.bincount(until[gone], minlength=len(data) + 1)
+    kept = np.cumsum(change)[: len(data)] == 0
+    # lines, by their first words
+    before = np.concatenate([[0], np.cumsum(data == 0x0A)])
+    line = before[starts]
+    head = np.flatnonzero(np.append(True, (line[1:] != line[:-1]) | (owner[1:] != owner[:-1]))[:n])
+    empty = np.minimum.reduceat(gone, head) if len(head) else np.zeros(0, bool)
+    lines = np.bincount(owner[head], minlength=len(at) - 1)
+    removed = np.bincount(owner[head[empty]], minlength=len(at) - 1)
+    return data[kept], np.concatenate([[0], np.cumsum(kept)])[at], lines, removed
+
+
+def dedup_lines(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
     """Per document: ``doc_id, text`` without repeated runs, ``n_lines``, ``n_removed``.
 
-    Every passage of ``PASSAGE`` words that an earlier place has goes to the
-    word, wherever it begins and ends, and so do whole lines of ``min_words``
-    words together; ``n_removed`` are the lines of which no word is left. The
-    first place of a run stays, in the order of ids and positions, also within
-    one text. A later copy of a whole text is left empty. White space
-    and letter case do not matter in the comparison; what stays is as it was. A
-    null text stays null, and a row with a null id is neither changed nor
+    Every word that lies in a run of ``PASSAGE`` words which an earlier place has
+    goes, and no other, with the white space behind it. Earlier is by id, then
+    position, also within one text; a later copy of a whole text of that many
+    words is left empty. White space and letter case (A-Z) do not matter in the
+    comparison; what stays is as it was. ``n_lines`` are the lines that have
+    words, ``n_removed`` those of them that have none left.
+
+    A null text stays null, and a row with a null id is neither changed nor
     counted as a first place. Rows with the same id and text are one place, so
-    they do not delete each other. An empty table gives no rows; other columns
-    are ignored.
+    they do not delete each other; rows with the same id and other texts stand in
+    the order of their texts' hashes. An empty table gives no rows; other
+    columns are ignored.
     """
     rows = docs.select(F.col(doc).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).withColumn("version", F.xxhash64("text"))
-    spans = repeated_grams(rows.where("doc_id is not null and text is not null"))
+    spans = repeated_runs(rows.where("doc_id is not null and text is not null"))
     listed = spans.distinct().groupBy("doc_id", "version").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))  # within one text
-    joined = rows.join(listed, ["doc_id", "version"], "left").select("doc_id", "text", "spans")
+    joined = rows.join(materialize(listed, "spans"), ["doc_id", "version"], "left").select("doc_id", "text", "spans")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, data, at in slices(batches, "text"):
-            null = np.asarray(part.column(1).is_null(), bool)
-            lines = Lines(data, at, hashed=False)
-            edges = np.searchsorted(lines.text, np.arange(part.num_rows + 1))
-            counts, gone, texts = np.diff(edges), np.zeros(part.num_rows, np.int64), []
-            # the ranges of all rows, as two flat arrays
-            spans = part.column(2)
-            ranges, bounds = spans.flatten(), np.concatenate([[0], np.cumsum(spans.value_lengths().fill_null(0))])
-            pairs = np.stack([np.asarray(ranges.field(k), np.int64) for k in (0, 1)], axis=1)
-            for i in range(part.num_rows):
-                own = data[at[i] : at[i + 1]]
-                if bounds[i] < bounds[i + 1]:
-                    text, gone[i] = _drop_runs(data[: at[i + 1]], lines, i, edges, pairs[bounds[i] : bounds[i + 1]], min_words, int(at[i]))
-                else:
-                    text = own.tobytes()
-                texts.append(None if null[i] else text)
-            yield pa.RecordBatch.from_arrays(
-                [part.column(0), pa.array(texts, pa.binary()).cast(pa.string()), pa.array(counts, pa.int64()), pa.array(gone, pa.int64())],
-                names=["doc_id", "text", "n_lines", "n_removed"],
-            )
+            known = np.asarray(part.column(1).is_valid(), bool)
+            listed = part.column(2)
+            ranges, text = listed.flatten(), np.repeat(np.arange(part.num_rows), np.asarray(listed.value_lengths().fill_null(0)))
+            left, offsets, lines, removed = without(data, at, (text, *(np.asarray(ranges.field(k), np.int64) for k in (0, 1))))
+            buffers = [pa.py_buffer(np.packbits(known, bitorder="little")), pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(left)]
+            texts = pa.StringArray.from_buffers(part.num_rows, buffers[1], buffers[2], buffers[0])
+            yield pa.RecordBatch.from_arrays([part.column(0), texts, pa.array(lines, pa.int64()), pa.array(removed, pa.int64())], names=["doc_id", "text", "n_lines", "n_removed"])
 
     return map_arrow(joined, run, "doc_id long, text string, n_lines long, n_removed long")
