@@ -8,12 +8,12 @@ share a run of ``PASSAGE`` (50) words share one, at the same place of the run.
 Places whose fingerprint repeats are joined with the first place that matches,
 and the match is extended both ways:
 
-1. A place's neighbourhood is its fingerprint with ``SIDE`` words on either side,
-   as far as its text goes. A place with the neighbourhood of an earlier one
-   matches it over the whole of it.
-2. Of places that have the same fingerprint but not the same neighbourhood, the
-   first of each neighbourhood is extended step by step: each run of ``PASSAGE``
-   words around its fingerprint is joined with the first place that has that run.
+1. A place's reach is all runs of ``PASSAGE`` words in which its fingerprint is
+   the smallest hash, taken together. A place whose reach has the words of an
+   earlier one's matches it over the whole of it.
+2. Of places that have the same fingerprint but not the same reach, the first of
+   each reach is extended step by step: each run of ``PASSAGE`` words in its reach
+   is joined with the first place that has that run.
 
 Both find runs of ``PASSAGE`` words or more that one earlier place has whole, and
 together they find all of them. A text's repeated run is what overlapping
@@ -24,6 +24,7 @@ every document has costs a row for each.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,13 +32,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACED, chain, map_arrow, materialize, ramp, slices, words
+from .common import SPACED, chain, map_arrow, materialize, ramp, slices, utf8, words
 
 SPAN, WINDOW = 26, 25
 SIDE = WINDOW - 1
 PASSAGE = SPAN + SIDE
-#: Bits of the map of repeated fingerprints that all executors get (8 MB). A full
-#: map lets more places through to the exact comparison, and changes no result.
+#: Bits of the maps that all executors get (8 MB): of repeated fingerprints, and of
+#: texts that take part in a join. A full map lets more rows through to the exact
+#: comparison, and changes no result.
 MAP_BITS = 1 << 26
 _NONE = np.iinfo(np.int64).min
 
@@ -103,90 +105,110 @@ class Places:
     def keep(self, wanted: np.ndarray) -> None:
         self.at, self.gram = self.at[wanted], self.gram[wanted]
 
-    def rows(self) -> dict[str, np.ndarray]:
-        """Of each place: text, first word, words that its neighbourhood has on the left and in all, and its hash."""
-        text = np.searchsorted(self.first, self.at, "right") - 1
-        left = np.minimum(SIDE, self.at - self.first[text])
-        size = left + SPAN + np.minimum(SIDE, self.first[text + 1] - self.at - SPAN)
-        around = chain(self.runs.of(self.at - left, size), left.astype(np.uint64)).view(np.int64)
-        return {"text": text, "at": self.at - self.first[text], "left": left, "size": size, "around": around}
-
-    def passages(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Of each place: the first of the runs of PASSAGE words in which it is smallest, their number, and all places' runs' hashes."""
+    def reach(self) -> tuple[np.ndarray, np.ndarray]:
+        """Of each place: the first of the runs of PASSAGE words in which it is the smallest, and their number."""
         start = self.at[:, None] - np.arange(SIDE, -1, -1)
         known = np.clip(start, 0, len(self.low) - 1)
         own = (start == known) & (self.low[known] == self.gram[:, None])
-        count = own.sum(axis=1)
-        first = self.at - SIDE + own.argmax(axis=1)
-        start = ramp(first, count)
-        return first, count, self.runs.of(start, np.full(len(start), PASSAGE)).view(np.int64)
+        return self.at - SIDE + own.argmax(axis=1), own.sum(axis=1)
+
 
+def bit_map(values: DataFrame) -> np.ndarray:
+    """Bits of the numbers in a DataFrame's only column."""
+    bit = F.pmod(F.col(values.columns[0]), F.lit(MAP_BITS))
+    one = F.call_function("shiftleft", F.lit(1).cast("long"), (bit % 64).cast("int"))
+    got = values.groupBy(F.floor(bit / 64).cast("int").alias("cell")).agg(F.bit_or(one).alias("bits")).toArrow()  # at most MAP_BITS / 64 rows
+    out = np.zeros(MAP_BITS // 64, np.int64)
+    out[got["cell"].to_numpy()] = got["bits"].to_numpy()
+    return out
 
-def _repeat_map(texts: DataFrame) -> np.ndarray:
-    """Bit map of the fingerprints that occur more than once."""
 
+def _repeated_fingerprints(texts: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, data, at in slices(batches, "text"):
             yield pa.RecordBatch.from_arrays([pa.array(Places(data, at).gram)], names=["gram"])
 
-    repeated = map_arrow(texts.select("text"), run, "gram long").groupBy("gram").agg(F.count("*").alias("n")).where("n > 1")
-    bit = F.pmod(F.col("gram"), F.lit(MAP_BITS))
-    cells = repeated.groupBy(F.floor(bit / 64).cast("int").alias("cell")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), (bit % 64).cast("int"))).alias("bits"))
-    got = cells.toArrow()  # at most MAP_BITS / 64 rows
-    out = np.zeros(MAP_BITS // 64, np.int64)
-    out[got["cell"].to_numpy()] = got["bits"].to_numpy()
-    return out
+    return map_arrow(texts.select("text"), run, "gram long").groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram")
 
 
-def _repeats(seen: np.ndarray, gram: np.ndarray) -> np.ndarray:
-    """Whether the bit map of repeated fingerprints has each gram."""
-    spot = gram % MAP_BITS
+def in_map(seen: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Whether the bit map has each number."""
+    spot = values % MAP_BITS
     return (seen[spot >> 6].view(np.uint64) >> (spot & 63).astype(np.uint64)) & np.uint64(1) == 1
 
 
-def _later(places: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
-    """The places that are not the first of their key, and the first of each key (``key, own``)."""
+def _later(places: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
+    """The places that are not the first with their keys, and the first of each (keys, ``own``)."""
     place = F.struct("doc_id", "version", "at")
     # written, so that both sides of the join are plain shuffles and Spark can split a key that very many places have
-    firsts = materialize(places.groupBy(key).agg(F.min(place).alias("own")), "firsts")
-    return places.join(firsts, key).where(place != F.col("own")), firsts
+    firsts = materialize(places.groupBy(*keys).agg(F.min(place).alias("own")), "firsts")
+    return places.join(firsts, keys).where(place != F.col("own")), firsts
+
+
+_ROWS = "doc_id long, version long, key long, text string"
+
+
+def _of_texts(docs: DataFrame, listed: DataFrame, only: bool = False) -> tuple[DataFrame, np.ndarray]:
+    """The rows of ``docs`` that ``listed`` (doc_id, version, ..) has, with its columns, and the bit map that chose them.
+
+    Only texts with a bit in the map are shuffled.
+    """
+    listed = materialize(listed, "listed")
+    seen = bit_map(listed.select(F.xxhash64("doc_id", "version")))
+    shared = docs.sparkSession.sparkContext.broadcast(seen)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(in_map(shared.value, np.asarray(batch.column(2)))))
+
+    chosen = map_arrow(docs.select("doc_id", "version", "key", "text"), run, _ROWS)
+    return chosen.join(listed, ["doc_id", "version"], "inner" if only else "left"), seen
 
 
 def repeated_runs(docs: DataFrame) -> DataFrame:
-    """``doc_id, version, lo, hi``: word ranges of ``docs`` (doc_id, text, version) that one earlier place has whole, PASSAGE words at least."""
-    shared = docs.sparkSession.sparkContext.broadcast(_repeat_map(docs))
+    """``doc_id, version, lo, hi``: word ranges of ``docs`` (doc_id, version, key, text) that one earlier place has whole, PASSAGE words at least."""
+    shared = docs.sparkSession.sparkContext.broadcast(bit_map(_repeated_fingerprints(docs)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, data, at in slices(batches, "text"):
             places = Places(data, at)
-            places.keep(_repeats(shared.value, places.gram))
+            places.keep(in_map(shared.value, places.gram))
             if not len(places.at):
                 continue
-            row = places.rows()
-            begin, count, passages = places.passages()
-            text = pa.array(row["text"])
+            begin, count = places.reach()
+            size = count + PASSAGE - 1
+            around = chain(places.runs.of(begin, size), (places.at - begin).astype(np.uint64)).view(np.int64)
+            text = np.searchsorted(places.first, places.at, "right") - 1
+            own = pa.array(text)
             yield pa.RecordBatch.from_arrays(
-                [
-                    part.column(0).take(text), part.column(1).take(text), pa.array(places.gram), pa.array(row["around"]),
-                    *(pa.array(x.astype(np.int32)) for x in (row["at"], row["left"], row["size"], row["at"] + begin - places.at)),
-                    pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(count)]), pa.int32()), pa.array(passages)),
-                ],
-                names=["doc_id", "version", "gram", "around", "at", "left", "size", "begin", "passages"],
+                [part.column(0).take(own), part.column(1).take(own), pa.array(places.gram), pa.array(around), pa.array((begin - places.first[text]).astype(np.int32)), pa.array(size.astype(np.int32))],
+                names=["doc_id", "version", "gram", "around", "at", "size"],
             )
 
-    schema = "doc_id long, version long, gram long, around long, at int, left int, size int, begin int, passages array<long>"
-    places = materialize(map_arrow(docs.select("doc_id", "version", "text"), run, schema), "places")
-    light = places.drop("passages", "begin")
-    later, firsts = _later(light, "around")
-    whole = later.where(F.col("size") >= PASSAGE).select("doc_id", "version", (F.col("at") - F.col("left")).alias("lo"), (F.col("at") - F.col("left") + F.col("size")).alias("hi"))
-
-    # fingerprints with several neighbourhoods
-    mixed = materialize(light.select("gram", "around").distinct().groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram"), "mixed")
-    kinds = firsts.select("around", "own.*")
-    apart = places.join(kinds, ["around", "doc_id", "version", "at"], "left_semi").join(mixed, "gram", "left_semi")
-    steps = apart.select("doc_id", "version", F.posexplode("passages").alias("k", "passage"), "begin")
-    steps = materialize(steps.select("doc_id", "version", "passage", (F.col("begin") + F.col("k")).alias("at")), "steps")
-    stepped = _later(steps, "passage")[0].select("doc_id", "version", F.col("at").alias("lo"), (F.col("at") + PASSAGE).alias("hi"))
+    places = materialize(map_arrow(docs.select("doc_id", "version", "text"), run, "doc_id long, version long, gram long, around long, at int, size int"), "places")
+    later, firsts = _later(places, ["gram", "around"])
+    whole = later.select("doc_id", "version", F.col("at").alias("lo"), (F.col("at") + F.col("size")).alias("hi"))
+
+    # fingerprints with several reaches
+    mixed = materialize(firsts.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram"), "mixed")
+    apart = firsts.join(mixed, "gram", "left_semi").select("own.*").groupBy("doc_id", "version").agg(F.collect_set("at").alias("begins"))
+    chosen, _ = _of_texts(docs, apart, only=True)
+
+    def steps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, data, at in slices(batches, "text"):
+            begins = part.column(3)
+            text = np.repeat(np.arange(part.num_rows), np.asarray(begins.value_lengths()))
+            places = Places(data, at)
+            begin, count = places.reach()
+            own = np.isin(begin, np.asarray(begins.flatten()) + places.first[text])
+            start = ramp(begin[own], count[own])
+            text = np.searchsorted(places.first, start, "right") - 1
+            passage = places.runs.of(start, np.full(len(start), PASSAGE)).view(np.int64)
+            own = pa.array(text)
+            yield pa.RecordBatch.from_arrays([part.column(0).take(own), part.column(1).take(own), pa.array(passage), pa.array((start - places.first[text]).astype(np.int32))], names=["doc_id", "version", "passage", "at"])
+
+    stepped = materialize(map_arrow(chosen.select("doc_id", "version", "text", "begins"), steps, "doc_id long, version long, passage long, at int"), "steps")
+    stepped = _later(stepped, ["passage"])[0].select("doc_id", "version", F.col("at").alias("lo"), (F.col("at") + PASSAGE).alias("hi"))
     return whole.unionByName(stepped)
 
 
@@ -230,18 +252,31 @@ def dedup_lines(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> Dat
     columns are ignored.
     """
     rows = docs.select(F.col(doc).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).withColumn("version", F.xxhash64("text"))
+    rows = rows.withColumn("key", F.xxhash64("doc_id", "version"))
     spans = repeated_runs(rows.where("doc_id is not null and text is not null"))
-    listed = spans.distinct().groupBy("doc_id", "version").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))  # within one text
-    joined = rows.join(materialize(listed, "spans"), ["doc_id", "version"], "left").select("doc_id", "text", "spans")
+    listed = spans.groupBy("doc_id", "version").agg(F.collect_set(F.struct("lo", "hi")).alias("spans"))  # within one text
+    joined, seen = _of_texts(rows, listed)
+    shared = docs.sparkSession.sparkContext.broadcast(seen)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch], listed: bool) -> Iterator[pa.RecordBatch]:
         for part, data, at in slices(batches, "text"):
+            if not listed:
+                there = in_map(shared.value, np.asarray(part.column(2)))
+                if there.any():
+                    part = part.filter(pa.array(~there))
+                    data, at = utf8(part.column(1))
             known = np.asarray(part.column(1).is_valid(), bool)
-            listed = part.column(2)
-            ranges, text = listed.flatten(), np.repeat(np.arange(part.num_rows), np.asarray(listed.value_lengths().fill_null(0)))
-            left, offsets, lines, removed = without(data, at, (text, *(np.asarray(ranges.field(k), np.int64) for k in (0, 1))))
+            none = np.zeros(0, np.int64)
+            text, lo, hi = none, none, none
+            if listed:
+                spans = part.column(3)
+                ranges, text = spans.flatten(), np.repeat(np.arange(part.num_rows), np.asarray(spans.value_lengths().fill_null(0)))
+                lo, hi = (np.asarray(ranges.field(k), np.int64) for k in (0, 1))
+            left, offsets, lines, removed = without(data, at, (text, lo, hi))
             buffers = [pa.py_buffer(np.packbits(known, bitorder="little")), pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(left)]
             texts = pa.StringArray.from_buffers(part.num_rows, buffers[1], buffers[2], buffers[0])
             yield pa.RecordBatch.from_arrays([part.column(0), texts, pa.array(lines, pa.int64()), pa.array(removed, pa.int64())], names=["doc_id", "text", "n_lines", "n_removed"])
 
-    return map_arrow(joined, run, "doc_id long, text string, n_lines long, n_removed long")
+    out = "doc_id long, text string, n_lines long, n_removed long"
+    changed = map_arrow(joined.select("doc_id", "text", "key", "spans"), functools.partial(run, listed=True), out)
+    return changed.unionByName(map_arrow(rows.select("doc_id", "text", "key"), functools.partial(run, listed=False), out))
