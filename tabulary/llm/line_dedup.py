@@ -24,7 +24,6 @@ every document has costs a row for each.
 
 from __future__ import annotations
 
-import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACED, chain, map_arrow, materialize, ramp, slices, utf8, words
+from .common import SPACED, chain, map_arrow, materialize, ramp, slices, words
 
 SPAN, WINDOW = 26, 25
 SIDE = WINDOW - 1
@@ -235,6 +234,15 @@ def without(data: np.ndarray, at: np.ndarray, spans: tuple[np.ndarray, np.ndarra
     return data[kept], np.concatenate([[0], np.cumsum(kept)])[at], lines, removed
 
 
+def count_lines(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """How many lines of each text have words."""
+    if not len(data):
+        return np.zeros(len(at) - 1, np.int64)
+    cuts = np.unique(np.concatenate([at, np.flatnonzero(data == 0x0A) + 1]))
+    some = np.logical_or.reduceat(SPACED[data], cuts[:-1])
+    return np.diff(np.concatenate([[0], np.cumsum(some)])[np.searchsorted(cuts, at)])
+
+
 def dedup_lines(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
     """Per document: ``doc_id, text`` without repeated runs, ``n_lines``, ``n_removed``.
 
@@ -258,25 +266,22 @@ def dedup_lines(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> Dat
     joined, seen = _of_texts(rows, listed)
     shared = docs.sparkSession.sparkContext.broadcast(seen)
 
-    def run(batches: Iterator[pa.RecordBatch], listed: bool) -> Iterator[pa.RecordBatch]:
+    def change(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, data, at in slices(batches, "text"):
-            if not listed:
-                there = in_map(shared.value, np.asarray(part.column(2)))
-                if there.any():
-                    part = part.filter(pa.array(~there))
-                    data, at = utf8(part.column(1))
             known = np.asarray(part.column(1).is_valid(), bool)
-            none = np.zeros(0, np.int64)
-            text, lo, hi = none, none, none
-            if listed:
-                spans = part.column(3)
-                ranges, text = spans.flatten(), np.repeat(np.arange(part.num_rows), np.asarray(spans.value_lengths().fill_null(0)))
-                lo, hi = (np.asarray(ranges.field(k), np.int64) for k in (0, 1))
-            left, offsets, lines, removed = without(data, at, (text, lo, hi))
+            spans = part.column(2)
+            ranges, owner = spans.flatten(), np.repeat(np.arange(part.num_rows), np.asarray(spans.value_lengths().fill_null(0)))
+            left, offsets, lines, removed = without(data, at, (owner, *(np.asarray(ranges.field(k), np.int64) for k in (0, 1))))
             buffers = [pa.py_buffer(np.packbits(known, bitorder="little")), pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(left)]
             texts = pa.StringArray.from_buffers(part.num_rows, buffers[1], buffers[2], buffers[0])
             yield pa.RecordBatch.from_arrays([part.column(0), texts, pa.array(lines, pa.int64()), pa.array(removed, pa.int64())], names=["doc_id", "text", "n_lines", "n_removed"])
 
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            batch = batch.filter(pa.array(~in_map(shared.value, np.asarray(batch.column(2)))))
+            for part, data, at in slices([batch], "text"):
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(count_lines(data, at)), pa.array(np.zeros(part.num_rows, np.int64))], names=["doc_id", "text", "n_lines", "n_removed"])
+
     out = "doc_id long, text string, n_lines long, n_removed long"
-    changed = map_arrow(joined.select("doc_id", "text", "key", "spans"), functools.partial(run, listed=True), out)
-    return changed.unionByName(map_arrow(rows.select("doc_id", "text", "key"), functools.partial(run, listed=False), out))
+    changed = map_arrow(joined.select("doc_id", "text", "spans"), change, out)
+    return changed.unionByName(map_arrow(rows.select("doc_id", "text", "key"), count, out))
