@@ -21,9 +21,10 @@ that runs twice, or whose executor is lost, leaves one whole file.
 from __future__ import annotations
 
 import functools
+import json
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -33,12 +34,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.taskcontext import TaskContext
 
-from .common import byte_class, map_arrow, mix64, partitions, shared_dir, slices, span_hashes
+from .common import byte_class, map_arrow, mix64, partitions, ramp, shared_dir, slices, span_hashes
 
 #: Text encoded at once; larger than elsewhere, as a word is encoded once per slice at most.
 ENCODE_BYTES = 2 << 20
-#: Distinct words whose ids a worker keeps.
-KEPT_WORDS = 1_500_000
+#: Distinct words, and bytes of them, that a worker keeps the ids of.
+KEPT_WORDS, KEPT_BYTES = 1_500_000, 64 << 20
 #: Keys per index part, about.
 PART_KEYS = 1 << 20
 
@@ -96,59 +97,92 @@ def _tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
+def _cuts_words(path: str) -> bool:
+    """Whether the file is a byte-level BPE with the usual word pattern and no normaliser, which :func:`safe_cuts` knows."""
+    rules = json.loads(_tokenizer(path).to_str())
+    cut = rules.get("pre_tokenizer") or {}
+    plain = cut.get("type") == "ByteLevel" and cut.get("use_regex") and not cut.get("add_prefix_space")
+    # a token that takes in the white space around it, or wants a word's edge, looks past its own string
+    wide = any(t.get("lstrip") or t.get("rstrip") or t.get("single_word") for t in rules.get("added_tokens") or [])
+    return bool(plain and not wide and rules.get("normalizer") is None and (rules.get("model") or {}).get("type") == "BPE")
+
+
+class _Pool:
+    """A growing array."""
+
+    def __init__(self, kind: type):
+        self.data, self.used = np.zeros(1 << 16, kind), 0
+
+    def add(self, more: np.ndarray) -> int:
+        """Append; returns where."""
+        at, self.used = self.used, self.used + len(more)
+        if self.used > len(self.data):
+            self.data = np.concatenate([self.data, np.zeros(max(len(self.data), len(more)), self.data.dtype)])
+        self.data[at : self.used] = more
+        return at
+
+
 class WordCache:
-    """Ids of the words met so far, as arrays sorted by the words' hashes."""
+    """Ids of the words met so far. Words are found by their hashes, and their bytes are compared before ids are used again."""
 
     def __init__(self, path: str):
         self.tokenizer = _tokenizer(path)
         self.added = tuple(t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values())
+        self.cuts_words = _cuts_words(path)
         self.clear()
 
     def clear(self) -> None:
-        self.hashes, self.first, self.count = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int32)
-        self.ids, self.used = np.zeros(1 << 16, np.uint32), 0
-
-    def _learn(self, hashes: np.ndarray, texts: list[str]) -> None:
-        ids = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        count = np.fromiter(map(len, ids), np.int32, len(ids))
-        flat = np.fromiter((i for x in ids for i in x), np.uint32, int(count.sum()))
-        while self.used + len(flat) > len(self.ids):
-            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-        self.ids[self.used : self.used + len(flat)] = flat
-        first = self.used + np.concatenate([[0], np.cumsum(count)[:-1]])
-        self.used += len(flat)
+        self.hashes = np.zeros(0, np.uint64)
+        self.words = np.zeros((4, 0), np.int64)  # of each: first id, number of ids, first byte, number of bytes
+        self.ids, self.raw = _Pool(np.uint32), _Pool(np.uint8)
+
+    def _encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Where the texts' ids begin in the pool, and how many they are."""
+        ids = [e.ids for e in self.tokenizer.encode_batch_fast([t.decode("utf-8", "replace") for t in texts], add_special_tokens=False)]
+        count = np.fromiter(map(len, ids), np.int64, len(ids))
+        at = self.ids.add(np.fromiter((i for x in ids for i in x), np.uint32, int(count.sum())))
+        return at + np.cumsum(count) - count, count
+
+    def _learn(self, hashes: np.ndarray, texts: list[bytes]) -> None:
+        first, count = self._encode(texts)
+        size = np.fromiter(map(len, texts), np.int64, len(texts))
+        at = self.raw.add(np.frombuffer(b"".join(texts), np.uint8))
         joined = np.concatenate([self.hashes, hashes])
         order = np.argsort(joined, kind="stable")
-        self.hashes, self.first, self.count = joined[order], np.concatenate([self.first, first])[order], np.concatenate([self.count, count])[order]
+        self.hashes = joined[order]
+        self.words = np.concatenate([self.words, [first, count, at + np.cumsum(size) - size, size]], axis=1)[:, order]
 
     def encode(self, data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and the number of ids of each text."""
-        cuts = safe_cuts(data, at, self.added)
+        cuts = safe_cuts(data, at, self.added) if self.cuts_words else at[:-1][np.diff(at) > 0]
         if not len(cuts):
             return np.zeros(0, np.uint32), np.zeros(len(at) - 1, np.int64)
         ends = np.append(cuts[1:], len(data))
         hashes = span_hashes(data, cuts, ends)
         distinct, sample, place = np.unique(hashes, return_index=True, return_inverse=True)
-        if len(self.hashes) > KEPT_WORDS:
+        if len(self.hashes) > KEPT_WORDS or self.raw.used > KEPT_BYTES:
             self.clear()
         guess = np.minimum(np.searchsorted(self.hashes, distinct), max(0, len(self.hashes) - 1))
         new = np.flatnonzero(self.hashes[guess] != distinct) if len(self.hashes) else np.arange(len(distinct))
         if len(new):
-            raw = data.tobytes()
-            self._learn(distinct[new], [raw[cuts[i] : ends[i]].decode("utf-8", "replace") for i in sample[new]])
-        known = np.searchsorted(self.hashes, distinct)
-        first, count = self.first[known][place], self.count[known][place].astype(np.int64)
-        upto = np.cumsum(count)
-        # each word's run of ids, copied in order
-        step = np.ones(int(upto[-1]), np.int64)
-        full = np.flatnonzero(count)
-        heads = (upto - count)[full]
-        step[heads[0]] = first[full[0]]
-        step[heads[1:]] = first[full[1:]] - first[full[:-1]] - count[full[:-1]] + 1
-        ids = self.ids[np.cumsum(step)]
-        sums = np.concatenate([[0], upto])[np.searchsorted(cuts, at)]
+            self._learn(distinct[new], [data[cuts[i] : ends[i]].tobytes() for i in sample[new]])
+        first, count, spell, size = self.words[:, np.searchsorted(self.hashes, distinct)][:, place]
+        odd = self._unlike(data, cuts, ends - cuts, spell, size)
+        if len(odd):  # another word has the hash
+            first[odd], count[odd] = self._encode([data[cuts[i] : ends[i]].tobytes() for i in odd])
+        ids = self.ids.data[ramp(first, count)]
+        sums = np.concatenate([[0], np.cumsum(count)])[np.searchsorted(cuts, at)]
         return ids, np.diff(sums)
 
+    def _unlike(self, data: np.ndarray, cuts: np.ndarray, length: np.ndarray, spell: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """The words whose bytes are not those kept for their hash."""
+        unlike = length != size
+        like = np.flatnonzero(~unlike)
+        differ = self.raw.data[ramp(spell[like], size[like])] != data[ramp(cuts[like], size[like])]
+        if differ.any():
+            unlike[like[np.searchsorted(np.cumsum(size[like]), np.flatnonzero(differ), "right")]] = True
+        return np.flatnonzero(unlike)
+
 
 @functools.lru_cache(2)
 def _cache(path: str) -> WordCache:
@@ -213,12 +247,6 @@ def _spot(hashes: np.ndarray, level: int, size: int) -> np.ndarray:
         return (mix64(hashes + np.uint64(level + 1) * np.uint64(0xD1B54A32D192ED03)) % np.uint64(size)).astype(np.int64)
 
 
-def _rank_blocks(bits: np.ndarray) -> np.ndarray:
-    """Set bits before each block of 512."""
-    ones = np.add.reduceat(bits, np.arange(0, len(bits), 512), dtype=np.int64) if len(bits) else np.zeros(0, np.int64)
-    return np.concatenate([[0], np.cumsum(ones)])
-
-
 @dataclass
 class PerfectHash:
     """Levels of bit arrays: a key's slot is the rank of the first set bit it hits.
@@ -229,8 +257,8 @@ class PerfectHash:
 
     n: int
     sizes: list[int]
-    bits: list[np.ndarray]
-    blocks: list[np.ndarray]
+    bits: list[np.ndarray]  # 64 a number
+    ranks: list[np.ndarray]  # set bits before each number, and in all
     base: list[int]
 
     @staticmethod
@@ -243,15 +271,16 @@ class PerfectHash:
             size = max(64, int(load * len(left)))
             spot = _spot(left, len(out.sizes), size)
             count = np.bincount(spot, minlength=size)
-            out._level(count == 1)
+            out._level(size, np.packbits(count == 1, bitorder="little"))
             left = left[count[spot] > 1]
         return out
 
-    def _level(self, bits: np.ndarray) -> None:
-        self.base.append(self.base[-1] + int(self.bits[-1].sum()) if self.bits else 0)
-        self.sizes.append(len(bits))
+    def _level(self, size: int, packed: np.ndarray) -> None:
+        bits = np.concatenate([packed, np.zeros(-len(packed) % 8, np.uint8)]).view("<u8")
+        self.base.append(self.base[-1] + int(self.ranks[-1][-1]) if self.ranks else 0)
+        self.sizes.append(size)
         self.bits.append(bits)
-        self.blocks.append(_rank_blocks(bits))
+        self.ranks.append(np.concatenate([[0], np.cumsum(np.bitwise_count(bits), dtype=np.int64)]))
 
     def slots(self, hashes: np.ndarray) -> np.ndarray:
         """Slot of each key, -1 for some that were not in the set (others get a slot that is not theirs)."""
@@ -261,18 +290,17 @@ class PerfectHash:
             if not len(open_):
                 break
             spot = _spot(hashes[open_], level, size)
-            hit = self.bits[level][spot]
-            at = spot[hit]
-            ranks = self.blocks[level][at >> 9]
-            within = np.fromiter((np.count_nonzero(self.bits[level][b << 9 : a]) for a, b in zip(at.tolist(), (at >> 9).tolist())), np.int64, len(at))
-            out[open_[hit]] = self.base[level] + ranks + within
+            bits, bit = self.bits[level][spot >> 6], np.uint64(1) << (spot & 63).astype(np.uint64)
+            hit = bits & bit != 0
+            before = np.bitwise_count(bits & (bit - np.uint64(1)))
+            out[open_[hit]] = (self.base[level] + self.ranks[level][spot >> 6] + before)[hit]
             open_ = open_[~hit]
         return out
 
     def write(self, to: _Writer) -> None:
         to.write(np.array([self.n, len(self.sizes), *self.sizes], np.int64))
         for bits in self.bits:
-            to.write(np.packbits(bits))
+            to.write(bits)
 
     @staticmethod
     def read(raw: bytes) -> tuple[PerfectHash, int]:
@@ -280,8 +308,8 @@ class PerfectHash:
         sizes = np.frombuffer(raw, np.int64, levels, 16).tolist()
         out, at = PerfectHash(int(n), [], [], [], []), 16 + 8 * int(levels)
         for size in sizes:
-            wide = (size + 7) // 8
-            out._level(np.unpackbits(np.frombuffer(raw, np.uint8, wide, at), count=size).astype(bool))
+            wide = (size + 63) // 64 * 8
+            out._level(size, np.frombuffer(raw, np.uint8, wide, at))
             at += wide
         return out, at
 
@@ -291,12 +319,13 @@ class PerfectHash:
 
 @dataclass
 class TokenStore:
-    """Where the files are; ``starts`` has the ids before each shard."""
+    """Where the files are; ``starts`` has the ids before each shard, ``lasts`` its last key (None: null)."""
 
     path: str
     width: int
     shards: list[int]
     starts: list[int]
+    lasts: list[int | None]
     parts: int
 
     @property
@@ -330,15 +359,17 @@ def write(
     ``tokenizer`` is the path of a byte-level BPE file of the tokenizers
     library, on every machine. A null text is empty, so its record is the end
     id alone. Null keys come first. Rows with equal keys are records of their
-    own, side by side in the order of their texts; an empty table makes an
-    empty store. The index maps a key to its first record. The driver learns
-    the size of each shard.
+    own, side by side in the order of their texts, in one shard or several; an
+    empty table makes an empty store. The index maps a key to its first record.
+    The driver learns the size and the last key of each shard. Files whose words
+    are not those of a plain byte-level BPE are applied to whole texts.
     """
     spark = docs.sparkSession
     path = path or f"{shared_dir(spark)}/tokens"
     width = 2 if vocabulary <= 1 << 16 else 4
     rows = docs.select(F.col(doc).cast("long").alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
-    ordered = rows.repartitionByRange(partitions(docs), "doc_id").sortWithinPartitions("doc_id", "text")
+    # the texts' beginnings, so that a key that very many rows have is cut as well
+    ordered = rows.repartitionByRange(partitions(docs), "doc_id", F.substring("text", 1, 32)).sortWithinPartitions("doc_id", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard = TaskContext.get().partitionId()
@@ -358,11 +389,11 @@ def write(
             for x in (np.array([len(keys)], np.int64), keys, nulls, np.concatenate([[0], np.cumsum(counts)])):
                 folder.write(x)
             folder.close()
-            yield pa.RecordBatch.from_pydict({"shard": pa.array([shard], pa.int32()), "n": pa.array([len(keys)], pa.int64()), "ids": pa.array([int(counts.sum())], pa.int64())})
+            yield pa.RecordBatch.from_pydict({"shard": pa.array([shard], pa.int32()), "n": pa.array([len(keys)], pa.int64()), "ids": pa.array([int(counts.sum())], pa.int64()), "last": pa.array([None if nulls[-1] else int(keys[-1])], pa.int64())})
 
-    sizes = sorted(map(tuple, map_arrow(ordered, run, "shard int, n long, ids long").collect()))
+    sizes = sorted(map(tuple, map_arrow(ordered, run, "shard int, n long, ids long, last long").collect()), key=lambda s: s[0])
     starts = np.concatenate([[0], np.cumsum([s[2] for s in sizes])])[:-1] if sizes else []
-    store = TokenStore(path, width, [s[0] for s in sizes], [int(x) for x in starts], max(1, -(-sum(s[1] for s in sizes) // PART_KEYS), min(partitions(docs), sum(s[1] for s in sizes) // 1000)))
+    store = TokenStore(path, width, [s[0] for s in sizes], [int(x) for x in starts], [s[3] for s in sizes], max(1, -(-sum(s[1] for s in sizes) // PART_KEYS), min(partitions(docs), sum(s[1] for s in sizes) // 1000)))
     _write_index(spark, store)
     return store
 
@@ -385,8 +416,10 @@ def _write_index(spark, store: TokenStore) -> None:
                 shard = store.shards[i]
                 keys, nulls, _ = read_dir(store.path, shard)
                 first = np.append(True, keys[1:] != keys[:-1])[: len(keys)] & ~nulls
-                if len(keys) and nulls.any():
-                    first[np.flatnonzero(~nulls)[:1]] = True
+                keyed = np.flatnonzero(~nulls)[:1]
+                first[keyed] = True
+                if i and len(keyed) and keys[keyed[0]] == store.lasts[i - 1]:
+                    first[keyed] = False  # goes on from the shard before
                 at = np.flatnonzero(first)
                 yield pa.RecordBatch.from_pydict({"doc_id": pa.array(keys[at]), "shard": pa.array(np.full(len(at), shard, np.int32)), "record": pa.array(at.astype(np.int64))})
 
@@ -451,49 +484,80 @@ def fetch(found: DataFrame, store: TokenStore) -> DataFrame:
     A key with several records gives them all. ``start`` counts the ids of all
     records before this one in the store.
     """
-    starts = dict(zip(store.shards, store.starts))
+    number = {shard: i for i, shard in enumerate(store.shards)}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        open_: dict[int, tuple] = {}
+        open_ = _Open(store)
         for batch in batches:
             asked, shards, records = (np.asarray(c) for c in batch.columns)
-            order = np.lexsort((records, shards))
             rows: list[tuple] = []
-            for i in order:
-                shard = int(shards[i])
-                if shard not in open_:
-                    for old in open_.values():
-                        old[3].close()
-                    open_.clear()
-                    where, name = _open(f"{store.path}/shard-{shard:06d}.ids")
-                    open_[shard] = (*read_dir(store.path, shard), where.open_input_file(name))
-                keys, nulls, offsets, file = open_[shard]
-                record = int(records[i])
-                while record < len(keys) and keys[record] == asked[i] and not nulls[record]:
-                    lo, hi = int(offsets[record]), int(offsets[record + 1])
-                    ids = np.frombuffer(file.read_at((hi - lo) * store.width, lo * store.width), store.kind)
-                    rows.append((int(asked[i]), starts[shard] + lo, hi - lo, zlib.crc32(ids.astype("<u4").data)))
-                    record += 1
-            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.int64()) for k in range(4)], names=["doc_id", "start", "n_tokens", "ids_crc32"])
-        for old in open_.values():
-            old[3].close()
-
-    return map_arrow(found.repartition(max(1, len(store.shards)), "shard"), run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+            for i in np.lexsort((records, shards)):
+                key, shard, record = int(asked[i]), number[int(shards[i])], int(records[i])
+                while shard < len(store.shards):
+                    keys, nulls, _ = open_.folder(shard)
+                    upto = record
+                    while upto < len(keys) and keys[upto] == key and not nulls[upto]:
+                        upto += 1
+                    rows += open_.records(shard, key, range(record, upto))
+                    if upto < len(keys):
+                        break
+                    shard, record = shard + 1, 0
+                if len(rows) >= _ROWS_AT_ONCE:
+                    yield _record_batch(rows)
+                    rows = []
+            yield _record_batch(rows)
+        open_.close()
+
+    return map_arrow(found.repartition(max(1, len(store.shards)), "shard"), run, _RECORD)
+
+
+_RECORD = "doc_id long, start long, n_tokens long, ids_crc32 long"
+_ROWS_AT_ONCE = 10_000
+
+
+def _record_batch(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.int64()) for k in range(4)], names=["doc_id", "start", "n_tokens", "ids_crc32"])
+
+
+class _Open:
+    """The shard that is being read."""
+
+    def __init__(self, store: TokenStore):
+        self.store, self.shard, self.file = store, None, None
+
+    def folder(self, shard: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        if shard != self.shard:
+            self.close()
+            number = self.store.shards[shard]
+            where, name = _open(f"{self.store.path}/shard-{number:06d}.ids")
+            self.dir, self.file, self.shard = read_dir(self.store.path, number), where.open_input_file(name), shard
+        return self.dir
+
+    def records(self, shard: int, key: int | None, which: Iterable[int]) -> list[tuple]:
+        offsets = self.folder(shard)[2]
+        rows = []
+        for r in which:
+            lo, hi = int(offsets[r]), int(offsets[r + 1])
+            ids = np.frombuffer(self.file.read_at((hi - lo) * self.store.width, lo * self.store.width), self.store.kind)
+            rows.append((key, self.store.starts[shard] + lo, hi - lo, zlib.crc32(ids.astype("<u4").data)))
+        return rows
+
+    def close(self) -> None:
+        if self.file:
+            self.file.close()
+        self.file = self.shard = None
 
 
 def unkeyed(spark, store: TokenStore) -> DataFrame:
     """The records with a null key, which no index can hold, as ``fetch`` gives them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        open_ = _Open(store)
         for batch in batches:
             for i in batch.column(0).to_pylist():
-                shard, start = store.shards[i], store.starts[i]
-                _, nulls, offsets = read_dir(store.path, shard)
-                rows = []
-                for r in np.flatnonzero(nulls).tolist():
-                    lo, hi = int(offsets[r]), int(offsets[r + 1])
-                    ids = np.frombuffer(_read(f"{store.path}/shard-{shard:06d}.ids", lo * store.width, (hi - lo) * store.width), store.kind)
-                    rows.append((None, start + lo, hi - lo, zlib.crc32(ids.astype("<u4").data)))
-                yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.int64()) for k in range(4)], names=["doc_id", "start", "n_tokens", "ids_crc32"])
-
-    return map_arrow(_shard_frame(spark, store), run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+                null = np.flatnonzero(open_.folder(i)[1]).tolist()
+                for k in range(0, len(null), _ROWS_AT_ONCE):
+                    yield _record_batch(open_.records(i, None, null[k : k + _ROWS_AT_ONCE]))
+        open_.close()
+
+    return map_arrow(_shard_frame(spark, store), run, _RECORD)

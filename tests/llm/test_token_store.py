@@ -1,8 +1,10 @@
+import json
 import zlib
 
 import numpy as np
 import pyarrow as pa
 import pytest
+import tokenizers
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -14,8 +16,11 @@ public_tokenizers = pytest.importorskip("public_tokenizers")
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 
 
+PLAIN = tokenizers.Tokenizer.from_file(PATH)
+
+
 def ids(text):
-    return ts._tokenizer(PATH).encode(text or "", add_special_tokens=False).ids
+    return PLAIN.encode(text or "", add_special_tokens=False).ids
 
 
 def encoded(texts):
@@ -95,6 +100,50 @@ def test_wide_ids(spark):
     assert sorted(map(tuple, ts.fetch(ts.locate(docs, store), store).collect())) == plain([(1, "one two"), (2, None)])
 
 
+def thue_morse(n):
+    t = "0"
+    while len(t) < n:
+        t += t.translate(str.maketrans("01", "10"))
+    return [x.translate(str.maketrans("01", "ab")) for x in (t, t.translate(str.maketrans("01", "10")))]
+
+
+@pytest.mark.parametrize("n", [1024, 2048, 4096])
+def test_patterned_words(n):
+    """Words that sums over letters can't tell apart."""
+    a, b = thue_morse(n)
+    assert encoded([a, f"{b} {a}", b]) == [ids(a), ids(f"{b} {a}"), ids(b)]
+
+
+def test_words_with_the_same_hash(monkeypatch):
+    monkeypatch.setattr(ts, "span_hashes", lambda data, starts, ends: (ends - starts).astype(np.uint64) % np.uint64(3))
+    texts = ["one two three four", "two one", "", "four five seven eleven", "one"]
+    assert encoded(texts) == [ids(t) for t in texts]
+
+
+def test_files_with_other_words(tmp_path):
+    """A normaliser or another pattern: whole texts are encoded."""
+    rules = json.loads(PLAIN.to_str())
+    rules["normalizer"] = {"type": "Lowercase"}
+    path = str(tmp_path / "lower.json")
+    tokenizers.Tokenizer.from_str(json.dumps(rules)).save(path)
+    cache = ts.WordCache(path)
+    data = np.frombuffer("One TWO three".encode(), np.uint8)
+    got, n = cache.encode(data, np.array([0, 7, 7, 13]))
+    plain = tokenizers.Tokenizer.from_file(path)
+    assert not cache.cuts_words and ts.WordCache(PATH).cuts_words
+    assert got.tolist() == plain.encode("One TWO").ids + plain.encode(" three").ids and n[1] == 0
+
+
+def test_keys_that_many_rows_have(spark):
+    """A key, and the null key, over several shards."""
+    rows = [(7 if i % 3 else None if i % 2 else i, f"text {i % 50}") for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    store = ts.write(docs, PATH, vocabulary=50_257)
+    assert sum(x == 7 for x in store.lasts) > 1
+    got = ts.fetch(ts.locate(docs.select("doc_id").distinct(), store), store).unionByName(ts.unkeyed(spark, store))
+    assert sorted(map(tuple, got.collect()), key=str) == plain(rows)
+
+
 def test_slices_of_sliced_batches():
     from tabulary.llm.common import slices
 
