@@ -246,26 +246,36 @@ def numbered_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, hashe
     return np.array([known.setdefault(data[a:b].tobytes(), len(known)) for a, b in zip(starts, ends)], np.int64)
 
 
-def words(data: np.ndarray, at: np.ndarray, kind: np.ndarray, lower: bool = True, hashed: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """All words of the texts in a slice: their hashes, starts (in bytes), and each text's first word.
-
-    The last array has one entry more than texts: text i has the words from
-    entry i up to entry i + 1. Without ``hashed``, all hashes are 0.
-    """
+def word_spans(data: np.ndarray, at: np.ndarray, kind: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the words of the texts in a slice begin and end, in bytes."""
     if len(data) == 0:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(len(at), np.int64)
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
     inside = kind[data]
     edge = np.empty(len(data) + 1, bool)
     edge[0], edge[-1] = inside[0], inside[-1]
     np.not_equal(inside[1:], inside[:-1], out=edge[1:-1])
+    starts, ends = np.flatnonzero(edge[:-1] & inside), np.flatnonzero(edge[1:] & inside) + 1
     cuts = np.unique(at[1:-1])
     cuts = cuts[(cuts > 0) & (cuts < len(data))]
     cuts = cuts[inside[cuts] & inside[cuts - 1]]  # two texts' words that touch
     if len(cuts):
-        starts = np.sort(np.concatenate([np.flatnonzero(edge[:-1] & inside), cuts]))
-        ends = np.sort(np.concatenate([np.flatnonzero(edge[1:] & inside) + 1, cuts]))
-    else:
-        starts = np.flatnonzero(edge[:-1] & inside)
-        ends = np.flatnonzero(edge[1:] & inside) + 1
+        starts, ends = np.sort(np.concatenate([starts, cuts])), np.sort(np.concatenate([ends, cuts]))
+    return starts, ends
+
+
+def words(data: np.ndarray, at: np.ndarray, kind: np.ndarray, lower: bool = True, hashed: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All words of the texts in a slice: their hashes, starts (in bytes), and each text's first word.
+
+    The last array has one entry more than texts: text i has the words from
+    entry i up to entry i + 1. Without ``hashed``, all hashes are 0.
+    """
+    starts, ends = word_spans(data, at, kind)
     hashes = span_hashes(data, starts, ends, lower) if hashed else np.zeros(len(starts), np.uint64)
     return hashes, starts, np.searchsorted(starts, at, "left")
+
+
+def numbered_words(data: np.ndarray, at: np.ndarray, kind: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """As ``words``, but with numbers that only the same word (A-Z as a-z) shares, in this slice."""
+    starts, ends = word_spans(data, at, kind)
+    data = _LOWER[data]
+    return numbered_spans(data, starts, ends, span_hashes(data, starts, ends)), np.searchsorted(starts, at, "left")

@@ -5,8 +5,8 @@ permutation, so half as many permutations are evaluated as with minima alone.
 Bands of six values (three permutations) name the buckets in which documents
 meet; every link is confirmed on the full sets.
 
-Only one document of those with the same set takes part. What happens in a
-bucket is linear in its members:
+Only one document of those with the same set takes part. What happens to the
+members of a bucket:
 
 1. each member is compared with the bucket's pivot that it meets most often,
    then with the other pivots where that left it in another component;
@@ -15,7 +15,14 @@ bucket is linear in its members:
    with all others, in blocks of ``BLOCK`` documents, so that no pair of a bucket
    goes unseen, however large the bucket is, and few are seen twice.
 
-Pairs are made and judged inside a block; only confirmed links leave it.
+Step 1 is linear. Step 2 is linear in the members at home, but grows with the
+square of those that are astray, so a large crowd is thinned first: a document
+with fewer than 80 % of its shingles in any other of the crowd has no link
+there. That leaves the square for what shares more than that and still is no
+link, such as very many documents of one template at a similarity just below 0.8.
+
+Pairs are made and judged inside a block, on the words themselves, not on
+hashes; only confirmed links leave it.
 """
 
 from __future__ import annotations
@@ -27,8 +34,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import SPACED, discard, map_arrow, materialize, mix64, partitions, slices, utf8, words
+from .common import SPACED, discard, fresh, identified, map_arrow, materialize, mix64, numbered_words, partitions, quoted, slices, utf8, words
 
 #: A pair at 0.8 misses all bands with a chance of (1 - 0.8^6)^50 = 2.5e-7.
 BANDS, PERMUTATIONS_PER_BAND = 50, 3
@@ -65,6 +73,28 @@ def shingle_sets(data: np.ndarray, at: np.ndarray, width: int) -> tuple[np.ndarr
     return np.concatenate(sets) if sets else np.zeros(0, np.uint64), np.concatenate([[0], np.cumsum(size)])
 
 
+def exact_sets(texts: list[str], width: int) -> list[np.ndarray]:
+    """The texts' shingles as sorted numbers; the same number stands for the same words."""
+    data, at = utf8(pa.array(texts, pa.large_string()))
+    word, first = numbered_words(data, at, SPACED)
+    many = int(word.max()) + 1 if len(word) else 1
+    number, total = word, many
+    for j in range(1, width):  # runs of j words are numbered, then those of j + 1
+        n = max(0, len(word) - j)
+        distinct, number = np.unique(number[:n] * many + word[j : j + n], return_inverse=True)
+        total = len(distinct)
+    short: dict[tuple, int] = {}
+    out = []
+    for lo, hi in zip(first[:-1].tolist(), first[1:].tolist()):
+        if hi - lo >= width:
+            out.append(np.unique(number[lo : hi - width + 1]))
+        elif hi > lo:
+            out.append(np.array([short.setdefault(tuple(word[lo:hi].tolist()), total + len(short))]))
+        else:
+            out.append(np.zeros(0, np.int64))
+    return out
+
+
 @functools.cache
 def _permutations(n: int) -> tuple[np.ndarray, np.ndarray]:
     rng = np.random.default_rng(20_24)
@@ -97,7 +127,7 @@ def band_keys(signature: np.ndarray, bands: int) -> np.ndarray:
 
 
 def profiles(docs: DataFrame, width: int, bands: int = BANDS) -> DataFrame:
-    """``doc_id, n_shingles``, a 128-bit digest of the set (``d1, d2``) and its ``bands``, from (doc_id, text)."""
+    """``doc_id, version, n_shingles``, a 128-bit digest of the set (``d1, d2``) and its ``bands``, from (doc_id, version, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, data, at in slices(batches, "text"):
@@ -115,18 +145,18 @@ def profiles(docs: DataFrame, width: int, bands: int = BANDS) -> DataFrame:
             ends = np.cumsum(np.where(size > 0, bands, 0))
             yield pa.RecordBatch.from_arrays(
                 [
-                    part.column(0), pa.array(size, pa.int64()), pa.array(d1.view(np.int64)), pa.array(d2.view(np.int64)),
+                    part.column(0), part.column(1), pa.array(size, pa.int64()), pa.array(d1.view(np.int64)), pa.array(d2.view(np.int64)),
                     pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), pa.array(keys.ravel())),
                 ],
-                names=["doc_id", "n_shingles", "d1", "d2", "bands"],
+                names=["doc_id", "version", "n_shingles", "d1", "d2", "bands"],
             )
 
-    return map_arrow(docs, run, "doc_id long, n_shingles long, d1 long, d2 long, bands array<long>")
+    return map_arrow(docs.select("doc_id", "version", "text"), run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, version long, n_shingles long, d1 long, d2 long, bands array<long>")
 
 
 def _overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> Iterator[tuple[int, np.ndarray]]:
     """For each left set, the sizes of its intersections with all right sets."""
-    joined = np.concatenate(right) if right else np.zeros(0, np.uint64)
+    joined = np.concatenate(right) if right else np.zeros(0, np.int64)
     owner = np.repeat(np.arange(len(right)), [len(r) for r in right])
     order = np.argsort(joined, kind="stable")
     joined, owner = joined[order], owner[order]
@@ -147,9 +177,7 @@ def compare(groups: DataFrame, width: int, percent: int) -> DataFrame:
 
     def judge(rows: list[tuple]) -> list[tuple[int, int]]:
         once = {(doc, side): (label, text) for doc, label, side, text in rows}
-        data, at = utf8(pa.array([t for _, t in once.values()], pa.large_string()))
-        sets, bounds = shingle_sets(data, at, width)
-        own = [sets[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
+        own = exact_sets([t for _, t in once.values()], width)
         keys = list(once)
         label = [x for x, _ in once.values()]
         lefts = [i for i, k in enumerate(keys) if k[1] & 1]
@@ -205,6 +233,29 @@ def components(links: DataFrame) -> DataFrame:
         discard(done)
 
 
+def _thinned(crowd: DataFrame, heavy: DataFrame, used: DataFrame, width: int, percent: int) -> DataFrame:
+    """``crowd`` (home, node, label) without those of the homes ``heavy`` that can have no link.
+
+    If u and v are linked, then at least ``percent`` % of u's shingles are in v.
+    So a document with fewer of its shingles in any other of its crowd is out.
+    """
+    packed = crowd.join(heavy, "home", "left_semi")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, data, at in slices(batches, "text"):
+            sets, bounds = shingle_sets(data, at, width)
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(sets.view(np.int64)))], names=["node", "shingles"])
+
+    sets = map_arrow(used.join(packed.select("node").distinct(), "node", "left_semi").select("node", "text"), run, "node long, shingles array<long>")
+    spread = packed.select("home", "node").join(sets, "node").select("home", "node", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle"))
+    common = materialize(spread.groupBy("home", "shingle").agg(F.count("*").alias("m")).where("m > 1").drop("m"), "common")
+    shared = spread.join(common, ["home", "shingle"]).groupBy("home", "node", "n").agg(F.count("*").alias("c"))
+    kept = shared.where(F.col("c") * 100 >= F.col("n") * percent).select("home", "node")
+    thin = materialize(crowd.join(heavy, "home", "left_anti").unionByName(packed.join(kept, ["home", "node"], "left_semi")), "crowd")
+    discard(common)
+    return thin
+
+
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: int = BANDS, doc: str = "doc_id", text: str = "text") -> DataFrame:
     """Per document: ``doc_id, n_shingles, component_id, kept``.
 
@@ -214,73 +265,99 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: i
     smallest id that links reach; ``kept`` says that it is the document's own.
 
     A null text or one without words has no shingles and no link. A row with a
-    null id is linked with nothing, has a null component, and is kept. Repeated
-    rows are in one component; ids that repeat with other texts are judged by
-    row. An empty table gives no rows. Other columns are ignored.
+    null id is linked with nothing, has a null component, and is kept. Rows are
+    judged by their texts: repeated rows are in one component, and rows with the
+    same id and other texts may be in several. Ids are numbers, or structs that
+    sort. An empty table gives no rows. Other columns are ignored.
     """
-    texts = docs.select(F.col(doc).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    own = quoted(doc) if isinstance(docs.schema[doc].dataType, T.StructType) else quoted(doc).cast("long")
+    texts = docs.select(own.alias("doc_id"), quoted(text).cast("string").alias("text")).withColumn("version", F.xxhash64("text"))
     known = materialize(profiles(texts, width, bands), "profiles")
     keyed = known.where("doc_id is not null and n_shingles > 0")
-    classes = keyed.groupBy("d1", "d2", "n_shingles").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"))
-    classes = materialize(classes, "classes")
-    spread = classes.select("rep", "n_shingles", F.explode("bands").alias("key"))
-    shared = spread.groupBy("key").agg(F.count("*").alias("m")).where("m > 1")
-    met = materialize(spread.join(shared, "key"), "met")
-
-    pivots = met.groupBy("key").agg(F.min(F.struct("rep", "n_shingles")).alias("p"))
-    near = (F.col("n_shingles") * 100 >= F.col("p.n_shingles") * percent) & (F.col("p.n_shingles") * 100 >= F.col("n_shingles") * percent)
-    stars = materialize(
-        met.join(pivots, "key").where((F.col("rep") != F.col("p.rep")) & near).groupBy("rep", F.col("p.rep").alias("pivot")).agg(F.count("*").alias("times")), "stars"
-    )
-    ids = met.select(F.col("rep").alias("doc_id")).distinct()
-    used = materialize(texts.join(ids, "doc_id", "left_semi"), "texts")
+    # a class is the rows with the same set; its number is fixed once it is written
+    classes = keyed.groupBy("d1", "d2", "n_shingles").agg(F.min(F.struct("doc_id", "version")).alias("own"), F.first("bands").alias("bands"))
+    classes = materialize(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
+    spread = classes.select("node", "n_shingles", F.explode("bands").alias("key"))
+    # aggregates are written before they are joined, so that both sides of a join are plain shuffles and Spark can split a key
+    buckets = materialize(spread.groupBy("key").agg(F.count("*").alias("m"), F.min("node").alias("pivot"), F.min_by("n_shingles", "node").alias("pivot_n")).where("m > 1"), "buckets")
+    met = materialize(spread.join(buckets, "key"), "met")
+    near = (F.col("n_shingles") * 100 >= F.col("pivot_n") * percent) & (F.col("pivot_n") * 100 >= F.col("n_shingles") * percent)
+    stars = materialize(met.where((F.col("node") != F.col("pivot")) & near).groupBy("node", "pivot").agg(F.count("*").alias("times")), "stars")
+    wanted = materialize(met.select("node").distinct().join(classes, "node").select("node", "own.*"), "wanted")
+    used = texts.join(wanted, ["doc_id", "version"]).groupBy("node").agg(F.first("text").alias("text"))  # rows may repeat
+    used = materialize(used, "texts")
+
+    def with_text(rows: DataFrame) -> DataFrame:
+        return rows.join(used.withColumnRenamed("node", "doc"), "doc")
 
     def fanned(pairs: DataFrame) -> DataFrame:
-        """Links among (rep, pivot, left label, right label), FAN members a block."""
-        loads = pairs.groupBy("pivot").agg(F.ceil(F.count("*") / F.lit(FAN)).cast("int").alias("subs"), F.first("pivot_label").alias("pivot_label"))
-        members = pairs.join(loads.drop("pivot_label"), "pivot").select(F.col("pivot").alias("grp"), F.pmod(F.xxhash64("rep"), F.col("subs")).cast("long").alias("sub"), F.col("rep").alias("doc"), F.col("label"), F.lit(2).alias("side"))
-        heads = loads.select(F.col("pivot").alias("grp"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("subs").cast("long") - 1)).alias("sub"), F.col("pivot").alias("doc"), F.col("pivot_label").alias("label"), F.lit(1).alias("side"))
-        return compare(members.unionByName(heads).join(used, F.col("doc") == used["doc_id"]).drop("doc_id"), width, percent)
+        """Links among (node, pivot, label, pivot_label), FAN members a block."""
+        loads = materialize(pairs.groupBy("pivot", "pivot_label").agg(F.ceil(F.count("*") / F.lit(FAN)).cast("long").alias("subs")), "loads")
+        members = pairs.join(loads.drop("pivot_label"), "pivot").select(F.col("pivot").alias("grp"), F.pmod(F.xxhash64("node"), F.col("subs")).alias("sub"), F.col("node").alias("doc"), F.col("label"), F.lit(2).alias("side"))
+        heads = loads.select(F.col("pivot").alias("grp"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("subs") - 1)).alias("sub"), F.col("pivot").alias("doc"), F.col("pivot_label").alias("label"), F.lit(1).alias("side"))
+        return compare(with_text(members.unionByName(heads)), width, percent)
 
     def labelled(df: DataFrame, labels: DataFrame, column: str, out: str) -> DataFrame:
         got = labels.select(F.col("node").alias(column), F.col("label").alias(out))
         return df.join(got, column, "left").withColumn(out, F.coalesce(out, column))
 
-    best = stars.groupBy("rep").agg(F.max_by("pivot", F.struct("times", -F.col("pivot"))).alias("pivot"))
-    links = materialize(fanned(best.withColumn("label", F.col("rep")).withColumn("pivot_label", F.col("pivot"))), "links")
+    best = materialize(stars.groupBy("node").agg(F.max_by("pivot", F.struct("times", -F.col("pivot"))).alias("pivot")), "best")
+    links = materialize(fanned(best.withColumn("label", F.col("node")).withColumn("pivot_label", F.col("pivot"))), "links")
     labels = materialize(components(links), "labels")
-    open_ = labelled(labelled(stars.join(best, ["rep", "pivot"], "left_anti"), labels, "rep", "label"), labels, "pivot", "pivot_label").where("label <> pivot_label")
+    open_ = labelled(labelled(stars.join(best, ["node", "pivot"], "left_anti"), labels, "node", "label"), labels, "pivot", "pivot_label").where("label <> pivot_label")
     links = materialize(links.unionByName(fanned(open_)), "links")
     labels = materialize(components(links), "labels")
 
     # buckets whose members still lie in several components; one of two members was settled by its pivot
-    members = materialize(labelled(met.where("m > 2").select("key", "rep"), labels, "rep", "label"), "members")
+    members = materialize(labelled(met.where("m > 2").select("key", "node"), labels, "node", "label"), "members")
     counted = members.groupBy("key", "label").agg(F.count("*").alias("n"))
     homes = counted.groupBy("key").agg(F.max_by("label", F.struct("n", -F.col("label"))).alias("home"), F.count("*").alias("labels"))
+    homes = materialize(homes.where("labels > 1").select("key", "home"), "homes")
     # a bucket is at home in its commonest component; documents that meet there in many buckets are compared once
-    crowd = materialize(members.join(homes.where("labels > 1").select("key", "home"), "key").select("home", "rep", "label").distinct(), "crowd")
-    strays = F.count(F.when(F.col("label") != F.col("home"), 1))
-    sizes = crowd.groupBy("home").agg(F.ceil(strays / F.lit(BLOCK)).alias("lefts"), F.ceil(F.count("*") / F.lit(BLOCK)).alias("rights"))
+    crowd = materialize(members.join(homes, "key").select("home", "node", "label").distinct(), "crowd")
+
+    def blocks_of(crowd: DataFrame) -> DataFrame:
+        strays = F.count(F.when(F.col("label") != F.col("home"), 1))
+        return materialize(crowd.groupBy("home").agg(F.ceil(strays / F.lit(BLOCK)).alias("lefts"), F.ceil(F.count("*") / F.lit(BLOCK)).alias("rights")), "sizes")
+
+    sizes = blocks_of(crowd)
+    heavy = sizes.where("lefts > 1").select("home")
+    if heavy.take(1):
+        crowd = _thinned(crowd, heavy, used, width, percent)
+        sizes = blocks_of(crowd)
     placed = crowd.join(sizes, "home")
-    hashed = F.xxhash64("rep")
+    hashed = F.xxhash64("node")
 
     def blocks(rows: DataFrame, own: str, other: str, side: int) -> DataFrame:
         """Every row next to each block of the other side."""
         block = F.pmod(hashed, F.col(own))
-        met_with = rows.select("home", "rep", "label", block.alias("own"), F.explode(F.sequence(F.lit(0).cast("long"), F.col(other) - 1)).alias("other"))
+        met_with = rows.select("home", "node", "label", block.alias("own"), F.explode(F.sequence(F.lit(0).cast("long"), F.col(other) - 1)).alias("other"))
         left, right = ("own", "other") if side == 1 else ("other", "own")
-        return met_with.select(F.col("home").alias("grp"), (F.col(left) * (1 << 31) + F.col(right)).alias("sub"), F.col("rep").alias("doc"), "label", F.lit(side).alias("side"))
+        return met_with.select(F.col("home").alias("grp"), (F.col(left) * (1 << 31) + F.col(right)).alias("sub"), F.col("node").alias("doc"), "label", F.lit(side).alias("side"))
 
     # of two documents in different components, one at least is astray from home
+    placed = placed.where("lefts > 0")
     placed = blocks(placed.where("label <> home"), "lefts", "rights", 1).unionByName(blocks(placed, "rights", "lefts", 2))
-    rest = compare(placed.join(used, F.col("doc") == used["doc_id"]).drop("doc_id"), width, percent)
-    final = components(links.unionByName(rest))
-    for done in (met, stars, used, links, labels, members, crowd):
-        discard(done)
-    labels = final
+    final = components(links.unionByName(compare(with_text(placed), width, percent)))
 
-    # labels go to the classes first: the only join by a key that many rows share is a plain one, which Spark can split
-    named = labelled(classes.select("d1", "d2", "n_shingles", "rep"), labels, "rep", "component_id").drop("rep")
+    # labels go to the classes first: the only joins by a key that many rows share are plain ones, which Spark can split
+    named = materialize(labelled(classes.select("d1", "d2", "n_shingles", "node", F.col("own.doc_id").alias("first")), final, "node", "label"), "named")
+    least = materialize(named.groupBy("label").agg(F.min("first").alias("component_id")), "least")
+    for done in (buckets, met, stars, wanted, used, best, links, labels, members, homes, crowd, sizes):
+        discard(done)
+    named = named.join(least, "label").select("d1", "d2", "n_shingles", "component_id")
     rows = known.select("doc_id", "n_shingles", "d1", "d2").join(named, ["d1", "d2", "n_shingles"], "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     return rows.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+
+
+def drop_near_duplicates(docs: DataFrame, doc: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """One row of each group of near duplicates: that with the smallest id, of those the first in the files.
+
+    Every row counts for itself, whether its id is null or repeats. Whole rows
+    come back as they were; rows without words stay (``options`` as above).
+    """
+    rows, key = identified(docs, doc)
+    judged = near_duplicates(rows, doc=key, text=text, **options)
+    (gone,) = fresh(rows, "_gone")
+    return rows.join(judged.where("not kept").select(F.col("doc_id").alias(gone)), quoted(key) == quoted(gone), "left_anti").drop(key)
