@@ -21,10 +21,8 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that with the smallest id, of each near-duplicate group; rows without an id stay."""
-    judged = near_dup.near_duplicates(docs, width=5)
-    gone = judged.where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    """One document, that with the smallest id, of each near-duplicate group."""
+    return near_dup.drop_near_duplicates(docs, width=5)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
