@@ -31,15 +31,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACED, chain, map_arrow, materialize, ramp, slices, words
+from .common import SPACED, bit_map, chain, in_map, map_arrow, materialize, ramp, slices, with_bit, words
 
 SPAN, WINDOW = 26, 25
 SIDE = WINDOW - 1
 PASSAGE = SPAN + SIDE
-#: Bits of the maps that all executors get (8 MB): of repeated fingerprints, and of
-#: texts that take part in a join. A full map lets more rows through to the exact
-#: comparison, and changes no result.
-MAP_BITS = 1 << 26
 _NONE = np.iinfo(np.int64).min
 
 
@@ -112,16 +108,6 @@ class Places:
         return self.at - SIDE + own.argmax(axis=1), own.sum(axis=1)
 
 
-def bit_map(values: DataFrame) -> np.ndarray:
-    """Bits of the numbers in a DataFrame's only column."""
-    bit = F.pmod(F.col(values.columns[0]), F.lit(MAP_BITS))
-    one = F.call_function("shiftleft", F.lit(1).cast("long"), (bit % 64).cast("int"))
-    got = values.groupBy(F.floor(bit / 64).cast("int").alias("cell")).agg(F.bit_or(one).alias("bits")).toArrow()  # at most MAP_BITS / 64 rows
-    out = np.zeros(MAP_BITS // 64, np.int64)
-    out[got["cell"].to_numpy()] = got["bits"].to_numpy()
-    return out
-
-
 def _repeated_fingerprints(texts: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, data, at in slices(batches, "text"):
@@ -130,12 +116,6 @@ def _repeated_fingerprints(texts: DataFrame) -> DataFrame:
     return map_arrow(texts.select("text"), run, "gram long").groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram")
 
 
-def in_map(seen: np.ndarray, values: np.ndarray) -> np.ndarray:
-    """Whether the bit map has each number."""
-    spot = values % MAP_BITS
-    return (seen[spot >> 6].view(np.uint64) >> (spot & 63).astype(np.uint64)) & np.uint64(1) == 1
-
-
 def _later(places: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
     """The places that are not the first with their keys, and the first of each (keys, ``own``)."""
     place = F.struct("doc_id", "version", "at")
@@ -144,9 +124,6 @@ def _later(places: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
     return places.join(firsts, keys).where(place != F.col("own")), firsts
 
 
-_ROWS = "doc_id long, version long, key long, text string"
-
-
 def _of_texts(docs: DataFrame, listed: DataFrame, only: bool = False) -> tuple[DataFrame, np.ndarray]:
     """The rows of ``docs`` that ``listed`` (doc_id, version, ..) has, with its columns, and the bit map that chose them.
 
@@ -154,14 +131,8 @@ def _of_texts(docs: DataFrame, listed: DataFrame, only: bool = False) -> tuple[D
     """
     listed = materialize(listed, "listed")
     seen = bit_map(listed.select(F.xxhash64("doc_id", "version")))
-    shared = docs.sparkSession.sparkContext.broadcast(seen)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield batch.filter(pa.array(in_map(shared.value, np.asarray(batch.column(2)))))
-
-    chosen = map_arrow(docs.select("doc_id", "version", "key", "text"), run, _ROWS)
-    return chosen.join(listed, ["doc_id", "version"], "inner" if only else "left"), seen
+    chosen = with_bit(docs.select("doc_id", "version", "key", "text"), "key", seen)
+    return chosen.join(listed.hint("merge"), ["doc_id", "version"], "inner" if only else "left"), seen
 
 
 def repeated_runs(docs: DataFrame) -> DataFrame:

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import SPACED, discard, fresh, identified, map_arrow, materialize, mix64, numbered_words, partitions, quoted, slices, utf8, words
+from .common import SPACED, bit_map, discard, fresh, identified, map_arrow, materialize, mix64, numbered_words, partitions, quoted, slices, utf8, with_bit, words
 
 #: A pair at 0.8 misses all bands with a chance of (1 - 0.8^6)^50 = 2.5e-7.
 BANDS, PERMUTATIONS_PER_BAND = 50, 3
@@ -284,7 +284,9 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: i
     near = (F.col("n_shingles") * 100 >= F.col("pivot_n") * percent) & (F.col("pivot_n") * 100 >= F.col("n_shingles") * percent)
     stars = materialize(met.where((F.col("node") != F.col("pivot")) & near).groupBy("node", "pivot").agg(F.count("*").alias("times")), "stars")
     wanted = materialize(met.select("node").distinct().join(classes, "node").select("node", "own.*"), "wanted")
-    used = texts.join(wanted, ["doc_id", "version"]).groupBy("node").agg(F.first("text").alias("text"))  # rows may repeat
+    place = F.xxhash64("doc_id", "version")
+    chosen = with_bit(texts.where("doc_id is not null").withColumn("place", place), "place", bit_map(wanted.select(place)))
+    used = chosen.join(wanted.hint("merge"), ["doc_id", "version"]).groupBy("node").agg(F.first("text").alias("text"))  # rows may repeat
     used = materialize(used, "texts")
 
     def with_text(rows: DataFrame) -> DataFrame:
