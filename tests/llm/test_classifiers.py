@@ -1,4 +1,5 @@
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -13,22 +14,85 @@ from .helpers import hard_docs, hard_rows, no_docs
 SF = "/root/testdata/sf0.01"
 
 
-def vectors(*texts):
-    return li.text_vectors(*utf8(pa.array(texts, pa.string())))
+def plain_trigrams(text):
+    """Counts of letter trigrams; a run of letters has a space at either end."""
+    low = lambda c: c.lower() if len(c.lower()) == 1 else c
+    runs = "".join(low(c) if c.isalpha() else " " for c in text or "").split(" ")
+    out = Counter()
+    for run in filter(None, runs):
+        letters = [0, *map(ord, run), 0]
+        out.update(zip(letters, letters[1:], letters[2:]))
+    return out
 
 
-def test_trigrams_bind_and_bundle():
-    a, b = vectors("abc", "ABC")
-    assert np.allclose(a, b) and np.linalg.norm(a) == pytest.approx(1)
-    want = li.trigram_vector(0, ord("a"), ord("b")).astype(int) + li.trigram_vector(ord("a"), ord("b"), ord("c")) + li.trigram_vector(ord("b"), ord("c"), 0)
-    assert np.allclose(a, want / np.linalg.norm(want), atol=1e-6)
-    assert abs(float(vectors("abc")[0] @ vectors("xyz")[0])) < 0.2
+def plain_vector(a, b, c):
+    sign = lambda x: li.letter_bits(np.array([x]))[0].astype(int) * 2 - 1
+    return np.roll(sign(a), 2) * np.roll(sign(b), 1) * sign(c)
+
+
+def plain_nearest(text, profiles):
+    """Language, score, and cosine of the text's bundle itself."""
+    counts = plain_trigrams(text)
+    if not counts:
+        return "und", 0.0, 0.0
+    bundle = sum(n * plain_vector(*t) for t, n in counts.items())
+    products = profiles.vectors.astype(float) @ bundle
+    length = np.sqrt(li.DIMENSIONS * sum(n * n for n in counts.values()))
+    return profiles.languages[products.argmax()], min(1.0, max(0.0, products.max() / length)), products.max() / np.linalg.norm(bundle)
+
+
+def test_trigrams_bind():
+    keys = np.array([ord("a") << 21 | ord("b"), (ord("a") << 42) | (ord("b") << 21) | ord("c"), 0x4E2D << 42 | 0x6587 << 21 | ord("c")])
+    want = [plain_vector(k >> 42, k >> 21 & (1 << 21) - 1, k & (1 << 21) - 1) for k in keys.tolist()]
+    assert np.array_equal(li.trigram_vectors(keys), want)
+    assert abs(want[0] @ want[1]) < 200  # close to orthogonal
 
 
 def test_texts_do_not_leak_into_each_other():
-    alone = np.concatenate([vectors(t) for t in ("ab", "", "cd ef", "1 2", "é")])
-    assert np.allclose(alone, vectors("ab", "", "cd ef", "1 2", "é"))
-    assert not vectors("", None, "12 !?").any()
+    texts = ["abab ABA", "", None, "cd ef", "1 2 !?", "é", "İx straße 中文字"]
+    data, at = utf8(pa.array(texts, pa.string()))
+    doc, key, count = li.trigram_counts(data, at)
+    got = [{(k >> 42, k >> 21 & (1 << 21) - 1, k & (1 << 21) - 1): n for d, k, n in zip(doc.tolist(), key.tolist(), count.tolist()) if d == i} for i in range(len(texts))]
+    assert got == [dict(plain_trigrams(t)) for t in texts]
+
+
+def test_scores_against_plain_numpy(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    profiles = li.fit(docs)
+    got = {r.doc_id: (r.lang_pred, r.score) for r in li.predict(docs, profiles).collect()}
+    for r in docs.collect()[:60]:
+        lang, score, cosine = plain_nearest((r.text or "")[:], profiles)
+        assert got[r.doc_id][0] == lang and got[r.doc_id][1] == pytest.approx(score, abs=1e-4)
+        assert score == pytest.approx(cosine, abs=0.15)
+
+
+def test_prototypes_against_plain_numpy(spark):
+    rows = [(1, "one two three", "en"), (2, "un deux trois", "fr"), (3, "two three one", "en"), (4, None, "en"), (5, "1", "fr"), (6, "x", None)]
+    profiles = li.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert profiles.languages == ["en", "fr"]
+    for name, vector in zip(profiles.languages, profiles.vectors):
+        total = 0
+        for _, text, lang in rows:
+            counts = plain_trigrams(text)
+            if lang == name and counts:
+                total = total + sum(n * plain_vector(*t) for t, n in counts.items()) / np.sqrt(sum(n * n for n in counts.values()))
+        assert np.allclose(vector, total / np.linalg.norm(total), atol=1e-4)
+    many = spark.range(li.MAX_LANGUAGES + 1).selectExpr("id as doc_id", "'a' as text", "cast(id as string) as lang")
+    with pytest.raises(ValueError, match="languages"):
+        li.fit(many)
+
+
+def test_rich_alphabets_in_bounded_memory():
+    """10 MB of random Han letters in one text."""
+    import resource
+
+    rng = np.random.default_rng(3)
+    text = "".join(map(chr, rng.integers(0x4E00, 0x9FA5, 3_400_000)))
+    profiles = li.Profiles(["a", "b"], rng.normal(0, 0.03, (2, li.DIMENSIONS)).astype(np.float32))
+    data, at = utf8(pa.array([text], pa.string()))
+    before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    names, _ = li.nearest(data, at, profiles)
+    assert names[0] in ("a", "b") and resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 1 << 20  # KB
 
 
 def test_language_query(spark):
