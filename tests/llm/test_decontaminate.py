@@ -1,4 +1,7 @@
 import hashlib
+import random
+
+import pytest
 
 from tabulary.llm import decontaminate as dc
 
@@ -60,6 +63,51 @@ def test_search_exact_and_near(spark):
     assert {r.doc_id for r in dc.search(index, items, width=4, slop=1).collect()} == {1, 2}
 
 
+def plain_search(docs, items, width, slop):
+    out = set()
+    for doc, text in docs:
+        w = alnum_words(text)
+        where = {}
+        for k, x in enumerate(w):
+            where.setdefault(x, []).append(k)
+        for item, test in items:
+            q = alnum_words(test)
+            for j in range(max(1, len(q) - width + 1) if q else 0):
+                window = q[j : j + width]
+                for s in range(-slop, len(w) + slop):
+                    if all(any(abs(p - s - k) <= slop for p in where.get(x, ())) for k, x in enumerate(window)):
+                        out.add((doc, str(item), max(0, s), len(window)))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("slop", [0, 1, 2, 3])
+def test_proximity_against_plain_python(spark, slop):
+    """Also at both ends of documents, with few letters so that every order and gap occurs."""
+    rng = random.Random(slop)
+    docs = [(k, " ".join(rng.choice("abcde") for _ in range(rng.randrange(0, 14)))) for k in range(60)] + [(100, "beta alpha alpha gamma"), (101, "gamma"), (102, "")]
+    items = [(1, "alpha beta gamma"), (2, "a b c d"), (3, "e d"), (4, "a a b c e a"), (5, "")]
+    index = dc.build_index(spark.createDataFrame(docs, "doc_id long, text string").repartition(3))
+    tests = spark.createDataFrame(items, "item_id long, text string")
+    got = sorted({tuple(r) for r in dc.search(index, tests, width=4, slop=slop).collect()})
+    assert got == plain_search(docs, items, 4, slop)
+    assert any(r[0] == 100 for r in got) == (slop >= 1)
+
+
+def test_slop_must_stay_within_a_document(spark):
+    with pytest.raises(ValueError, match="slop"):
+        dc.search(dc.build_index(no_docs(spark)), spark.createDataFrame([], "item_id long, text string"), slop=30)
+
+
+@pytest.mark.parametrize("size", [1 << 20, 100])
+def test_stage_judges_rows_not_ids(spark, monkeypatch, size):
+    monkeypatch.setattr(dc, "MAX_QUERY_BYTES", size)
+    rows = [(1, "clean text", "x"), (1, "has one word", "y"), (None, "one", "z"), (None, "clean", "v"), (2, None, "w"), (3, "two of them", "u")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _bad string")
+    items = spark.createDataFrame([(1, "one"), (2, "two of"), (3, None)], "item_id long, text string")
+    left = dc.decontaminate(docs, items)
+    assert left.columns == docs.columns and sorted(r._bad for r in left.collect()) == ["v", "w", "x"]
+
+
 def test_stage_drops_contaminated_rows_only(spark):
     docs = hard_docs(spark)
     items = spark.createDataFrame([(1, "one")], "item_id long, text string")
