@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, partitions
+from .common import discard, materialize, partitions
 
 _LEAST = -(1 << 63)
 
@@ -98,20 +98,22 @@ def exact_groups(docs: DataFrame, digests: DataFrame | None = None, doc: str = "
     rows = keyed(docs, doc, text)
     if digests is None:
         digests = materialize(rows.select("key", fingerprint(F.col("text")).alias("fingerprint")), "digests")
-    buckets = digests.groupBy("fingerprint").agg(F.count("*").alias("copies"), F.min("key").alias("first"))
+    # aggregates are written before they are joined, so that both sides of a join by fingerprint are plain shuffles
+    # and Spark can split a bucket with very many copies
+    buckets = materialize(digests.groupBy("fingerprint").agg(F.count("*").alias("copies"), F.min("key").alias("first")), "buckets")
     shared = buckets.where("copies > 1")
-    # no aggregation stands on a join by fingerprint, so that Spark can split a bucket with very many copies
     met = digests.select("key", "fingerprint").distinct().join(shared, "fingerprint").select("key", "fingerprint", "first")
     texts = materialize(rows.join(met, "key").select("key", "fingerprint", "first", canonical(F.col("text")).alias("form")).where(digest(F.col("form")) == F.col("fingerprint")), "forms")
-    firsts = texts.where("key = first").groupBy("fingerprint").agg(F.min("form").alias("own"))
+    firsts = materialize(texts.where("key = first").groupBy("fingerprint").agg(F.min("form").alias("own")), "firsts")
     same = F.col("form") == F.col("own")
     compared = texts.join(firsts, "fingerprint").select("key", "fingerprint", "first", same.alias("same"), F.when(~same, F.col("form")).alias("form"))
     compared = materialize(compared, "compared")
     equal = compared.where("same").groupBy("key", "fingerprint").agg(F.first("first").alias("group_id"))
-    sizes = compared.where("same").groupBy("fingerprint").agg(F.count("*").alias("copies"))
+    sizes = materialize(compared.where("same").groupBy("fingerprint").agg(F.count("*").alias("copies")), "copies")
     equal = equal.join(sizes, "fingerprint").select("key", "fingerprint", "group_id", "copies")
     odd = compared.where("not same")
-    odd_groups = odd.groupBy("fingerprint", "form").agg(F.min("key").alias("group_id"), F.count("*").alias("copies"))
+    odd_groups = materialize(odd.groupBy("fingerprint", "form").agg(F.min("key").alias("group_id"), F.count("*").alias("copies")), "odd")
     unequal = odd.join(odd_groups, ["fingerprint", "form"]).select("key", "fingerprint", "group_id", "copies").distinct()
+    discard(texts)
     alone = buckets.where("copies = 1").select(F.col("first").alias("key"), "fingerprint", F.col("first").alias("group_id"), "copies")
     return alone.unionByName(equal).unionByName(unequal)

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, materialize, running_total
+from .common import discard, fresh, identified, materialize, quoted, running_total
 
 
 def word_count(text: Column) -> Column:
@@ -66,7 +66,7 @@ def mix(
     one number per source.
     """
     spark = docs.sparkSession
-    sized = materialize(docs.select(F.col(doc).alias("doc_id"), F.col(source).cast("string").alias("source"), word_count(F.col(text)).alias("size")), "sizes")
+    sized = materialize(docs.select(quoted(doc).alias("doc_id"), quoted(source).cast("string").alias("source"), word_count(quoted(text)).alias("size")), "sizes")
     sizes = {s: n for s, n in sized.groupBy("source").agg(F.sum("size")).collect()}
     weights = ranked_weights(list(sizes)) if weights is None else weights
     if missing := set(sizes) - set(weights):
@@ -112,15 +112,27 @@ def mix(
 def apply_mix(docs: DataFrame, doc: str = "doc_id", text: str = "text", source: str = "source", **options) -> DataFrame:
     """The rows of ``docs``, each as often as :func:`mix` takes it (``options`` go there).
 
-    Rows that agree in id, source and size share the copies taken of them.
+    Rows that agree in id, source and size share the copies taken of them, in the
+    order of their texts' hashes.
     """
+    size, key, copies, many, place, time, value = fresh(docs, "_size", "_key", "_copies", "_many", "_place", "_time", "_hash")
     mixed = mix(docs, doc=doc, text=text, source=source, **options)
-    key = F.to_json(F.struct(F.col(doc).alias("doc_id"), F.col(source).cast("string").alias("source"), F.col("_size").alias("size")))
-    taken = mixed.groupBy("doc_id", "source", "size").agg(F.sum("copies").alias("_copies"), F.count("*").alias("_rows"))
-    taken = taken.select(F.to_json(F.struct("doc_id", "source", "size")).alias("_key"), "_copies", "_rows").where("_copies > 0")
-    rows = docs.withColumn("_size", word_count(F.col(text))).withColumn("_key", key)
-    rows = rows.withColumn("_row", F.row_number().over(Window.partitionBy("_key").orderBy(F.xxhash64(F.col(text)))))
-    joined = rows.join(taken, "_key")
-    share = F.floor(F.col("_copies") / F.col("_rows")) + F.when(F.col("_row") <= F.col("_copies") % F.col("_rows"), 1).otherwise(0)
-    names = [F.col(f"`{c}`") for c in docs.columns]
-    return joined.withColumn("_times", share.cast("int")).where("_times > 0").select(*names, F.explode(F.sequence(F.lit(1), F.col("_times"))).alias("_time")).drop("_time")
+    taken = mixed.groupBy("doc_id", "source", "size").agg(F.sum("copies").alias(copies), F.count("*").alias(many)).where(F.col(copies) > 0)
+    taken = materialize(taken.select(F.to_json(F.struct("doc_id", "source", "size")).alias(key), copies, many), "taken")
+    own = F.struct(quoted(doc).alias("doc_id"), quoted(source).cast("string").alias("source"), F.col(size).alias("size"))
+    rows = docs.withColumn(size, word_count(quoted(text))).withColumn(key, F.to_json(own))
+    names = [quoted(c) for c in docs.columns]
+    if taken.where(F.col(many) > 1).take(1):
+        rows, row = identified(docs, doc)
+        rows = rows.withColumn(size, word_count(quoted(text))).withColumn(key, F.to_json(own))
+        repeated = rows.join(taken.where(F.col(many) > 1), key, "left_semi").select(key, row, F.xxhash64(quoted(text)).alias(value), F.lit(1).alias("one"))
+        # numbered by a range sort, as one key may have very many rows
+        counted = running_total(repeated, [key, value, row], "one", place)
+        before = materialize(counted.groupBy(key).agg((F.min(place) - 1).alias("before")), "before")
+        numbered = counted.join(before, key).select(row, (F.col(place) - F.col("before")).alias(place))
+        rows = rows.join(numbered, row, "left").withColumn(place, F.coalesce(place, F.lit(1)))
+    else:
+        rows = rows.withColumn(place, F.lit(1))
+    share = F.floor(F.col(copies) / F.col(many)) + F.when(F.col(place) <= F.col(copies) % F.col(many), 1).otherwise(0)
+    shared = rows.join(taken, key).select(*names, share.cast("int").alias(time)).where(F.col(time) > 0)
+    return shared.withColumn(time, F.explode(F.sequence(F.lit(1), F.col(time)))).select(*names)

@@ -14,7 +14,7 @@ from .common import map_arrow
 #: A trie up to this size, pickled, is sent to every executor; more rules than that are joined.
 MAX_TRIE_BYTES = 128 << 20
 
-_PATHS, _ENDS = "/paths", "/ends"  # no host label or path segment has a slash in it
+_PATHS, _ENDS, _LONGEST = "/paths", "/ends", "/longest"  # no host label or path segment has a slash in it
 
 
 def split_url(url: str | None) -> tuple[str, str]:
@@ -49,6 +49,7 @@ def build_trie(rules: Iterable[tuple[str, str, str]]) -> dict:
         ends = node.setdefault(_ENDS, {})
         if ends.get(part, ("", ""))[1] != "block":
             ends[part] = (host.translate(_LOWER) + path, verdict)
+            ends[_LONGEST] = max(ends.get(_LONGEST, 0), len(part))
     return root
 
 
@@ -64,9 +65,13 @@ def look_up(trie: dict, host: str, path: str) -> tuple[str, str] | None:
         inner = node.get(_PATHS)
         depth = 0
         while inner is not None:
-            for part, found in inner.get(_ENDS, {}).items():
-                if segments[depth].startswith(part) and (best is None or len(found[0]) >= len(best[0])):
-                    best = found
+            ends = inner.get(_ENDS, {})
+            for n in range(min(len(segments[depth]), ends.get(_LONGEST, -1)), -1, -1):  # the longest beginning of the segment
+                found = ends.get(segments[depth][:n])
+                if found:
+                    if best is None or len(found[0]) >= len(best[0]):
+                        best = found
+                    break
             if depth + 1 >= len(segments):  # the last segment has no slash behind it
                 break
             inner = inner.get(segments[depth])

@@ -1,4 +1,7 @@
+import struct
+
 import pytest
+import xxhash
 
 from tabulary.llm import mixing
 
@@ -38,6 +41,63 @@ def test_query(spark, sf):
         assert abs(taken[s] - targets[s]) <= 2 * max(largest.values())
 
 
+def plain_mix(rows, epochs=3, seed=17):
+    """Words taken of each row (id, source, size), by sorting all copies by their virtual finish times."""
+    sizes = {}
+    for _, s, n in rows:
+        sizes[s] = sizes.get(s, 0) + n
+    order = sorted(x for x in sizes if x is not None) + [None] * (None in sizes)
+    targets = mixing.water_fill(sizes, {s: (1, 2, 3)[i % 3] for i, s in enumerate(order)}, sum(sizes.values()), epochs)
+    budget = int(min(sum(sizes.values()), sum(targets.values())) + 1e-6)
+
+    def shuffled(doc):
+        h = xxhash.xxh64_intdigest(struct.pack("<i", seed), 42)
+        for x in (doc, 1):
+            h = xxhash.xxh64_intdigest(struct.pack("<q", x), h)
+        return h - (1 << 64) if h >> 63 else h
+
+    queue = []
+    for s in sizes:
+        cum = 0
+        for h, doc, n in sorted((shuffled(d), d, n) for d, t, n in rows if t == s):
+            cum += n
+            queue += [((e * sizes[s] + cum) / targets[s], order.index(s), e, h, doc, n) for e in range(epochs) if targets[s] > 0]
+    taken, reached = dict.fromkeys((d for d, _, _ in rows), 0), 0
+    for *_, doc, n in sorted(queue):
+        reached += n
+        if reached <= budget:
+            taken[doc] += n
+    return taken
+
+
+def test_which_documents_are_taken(spark, sf):
+    from tabulary.llm.queries import op9_mixing
+
+    rows = [(r.doc_id, r.source, len(words(r.text))) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
+    assert {r.doc_id: r.taken for r in op9_mixing(spark, sf).collect()} == plain_mix(rows)
+
+
+def test_applied_copies_in_full(spark, sf):
+    """The pipeline's stage: each row as often as the brute force takes it."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    rows = [(r.doc_id, r.source, len(words(r.text))) for r in docs.collect()]
+    want = plain_mix(rows)
+    copies = {d: want[d] // n for d, _, n in rows if want[d]}
+    got = mixing.apply_mix(docs)
+    assert got.columns == docs.columns
+    assert {r.doc_id: r["count"] for r in got.groupBy("doc_id").count().collect()} == copies
+
+
+def test_one_key_of_many_rows(spark):
+    """Rows that agree in id, source and size share the copies, and no row is lost or made up."""
+    rows = [(1, f"a b {'c' if i % 3 else 'd'}", "x", i) for i in range(50)] + [(2, "a b c d", "y", 99)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, _place int")
+    got = [tuple(r) for r in mixing.apply_mix(docs).collect()]
+    assert len(got) == sum(r.copies for r in mixing.mix(docs).collect())
+    times = [got.count(r) for r in rows if r[0] == 1]
+    assert set(got) <= set(rows) and max(times) - min(times) <= 1
+
+
 def test_hard_rows(spark):
     got = mixing.mix(hard_docs(spark)).collect()
     assert len(got) == len(hard_rows())
