@@ -11,9 +11,10 @@ import json
 from typing import Any
 
 from pyspark.sql import Column
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..plans.sqltext import functions_of
+
 _NUMBER_TYPES = (T.NumericType,)
 #: Texts that are booleans, once trimmed and in lower case.
 TRUE, FALSE = ("true", "yes", "1"), ("false", "no", "0")
@@ -23,6 +24,7 @@ DATE_FORMS = ("MM/dd/yyyy", "MMMM d, yyyy", "yyyyMMdd")
 
 def to_number(x: Column, dtype: T.DataType) -> Column:
     """Double; booleans are 1 and 0, texts are read without a type suffix, the rest is null."""
+    F = functions_of(x)
     if isinstance(dtype, T.BooleanType):
         return x.cast("double")
     if isinstance(dtype, T.NumericType):
@@ -35,6 +37,7 @@ def to_number(x: Column, dtype: T.DataType) -> Column:
 
 def to_boolean(x: Column, dtype: T.DataType) -> Column:
     """Numbers are true unless 0; of texts only true, yes, 1 and false, no, 0 count."""
+    F = functions_of(x)
     if isinstance(dtype, T.BooleanType):
         return x
     if isinstance(dtype, T.NumericType):
@@ -47,6 +50,7 @@ def to_boolean(x: Column, dtype: T.DataType) -> Column:
 
 def to_date(x: Column, dtype: T.DataType) -> Column:
     """Timestamp; texts that name a time alone are null, as their date would be today's."""
+    F = functions_of(x)
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType, T.DateType)):
         return x.cast("timestamp")
     if isinstance(dtype, T.StringType):
@@ -60,6 +64,7 @@ def to_date(x: Column, dtype: T.DataType) -> Column:
 
 def to_text(x: Column, dtype: T.DataType) -> Column:
     """Text; containers are JSON that keeps null fields."""
+    F = functions_of(x)
     if isinstance(dtype, (T.ArrayType, T.StructType, T.MapType)):
         return F.to_json(x, {"ignoreNullFields": "false"})
     return x.cast("string")
@@ -67,6 +72,7 @@ def to_text(x: Column, dtype: T.DataType) -> Column:
 
 def coerce(x: Column, dtype: T.DataType, target: T.DataType) -> Column:
     """``x`` of type ``dtype`` as ``target``; what can't be converted is null."""
+    F = functions_of(x)
     if isinstance(target, T.BooleanType):
         return to_boolean(x, dtype)
     if isinstance(target, T.TimestampType):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
@@ -10,15 +11,15 @@ from pyspark.sql import types as T
 
 from ..errors import SchemaConflictError, SchemaInferenceError
 from ..functions.coerce import coerce, to_boolean, to_date, to_number
-from ..plans.compiler import Compiler, Value
+from ..plans.compiler import Compiler, Value, same_type
 from ..plans.rules import Registry, RuleSet, registry, walk
-from ..plans.vectorized import fired_index
+from ..plans.sqltext import functions_of
 from ..rule_types import kind_of
 from .batched import RuleEvaluator, solve_batched
 
 ERROR_COLUMN = "_rule_error"
-#: Comparisons up to which a rule set is one CASE expression; beyond, see ``vectorized``.
-CASE_COMPARISONS = 100
+#: Plain values of an output are looked up in an array beyond this many.
+CASE_VALUES = 100
 
 
 def quoted(name: str) -> Column:
@@ -76,8 +77,17 @@ def spread_out(df: DataFrame) -> DataFrame:
     return df.repartition(max(cores, 8)) if n == 1 else df.coalesce(1000) if n > 10_000 else df
 
 
-def _typed_input(column: Column, dtype: T.DataType, kind: str) -> Value:
-    """A field as its kind asks; numbers keep their Spark type, and NaN is null."""
+def typed_input(column: Column, dtype: T.DataType, kind: str, default: Any = None) -> Value:
+    """A field as its kind asks, nulls as ``default``; numbers keep their Spark type, and NaN is null."""
+    value = _typed(column, dtype, kind)
+    if default is None:
+        return value
+    F = functions_of(column)
+    return Value(F.coalesce(value.column, F.lit(default)), value.dtype)
+
+
+def _typed(column: Column, dtype: T.DataType, kind: str) -> Value:
+    F = functions_of(column)
     if kind == "number":
         if isinstance(dtype, (T.DoubleType, T.FloatType)):
             return Value(F.nanvl(column, F.lit(None).cast(dtype)), dtype)
@@ -102,11 +112,9 @@ def _inputs(df: DataFrame, ruleset: RuleSet, mapping: dict[str, str], on_missing
     for item in ruleset.inputs:
         source = by_field.get(same(item.name))
         if source is None:
-            value = _typed_input(F.lit(None).cast("string"), T.StringType(), item.kind)
+            value = typed_input(F.lit(None).cast("string"), T.StringType(), item.kind, item.default)
         else:
-            value = _typed_input(quoted(source.name), source.dataType, item.kind)
-        if item.default is not None:
-            value = Value(F.coalesce(value.column, F.lit(item.default)), value.dtype)
+            value = typed_input(quoted(source.name), source.dataType, item.kind, item.default)
         out[item.name] = value
     return out
 
@@ -115,35 +123,68 @@ def _is_plain(part: Any) -> bool:
     return not isinstance(part, (dict, list, tuple))
 
 
-def _index_column(ruleset: RuleSet, compiler: Compiler, strategy: str) -> Column:
-    if strategy == "auto":
-        strategy = "case" if ruleset.comparisons() <= CASE_COMPARISONS else "vectorized"
-    if strategy == "case":
-        return compiler.fired()
-    return fired_index(ruleset, {k: v.column for k, v in compiler.fields.items()})
-
-
 def _table_value(ruleset: RuleSet, name: str, compiler: Compiler, index: Column) -> Value:
-    """An output's value by the number of the rule that fired."""
+    """An output's value by the number of the rule that fired. Values of several types become texts, which are then read as the output's type."""
+    F = compiler.F
     parts = [ruleset.default.get(name), *(r.then.get(name) for r in ruleset.rules)]
-    if all(map(_is_plain, parts)):
-        values = [compiler.value(p) for p in parts]
-        dtype = next((v.dtype for v in values if not isinstance(v.dtype, T.NullType)), T.StringType())
-        if len(parts) > CASE_COMPARISONS:
-            return Value(F.element_at(F.array(*(v.column.cast(dtype) for v in values)), index + 1), dtype)
-        column = values[0].column.cast(dtype)
-        out = None
-        for i, v in enumerate(values[1:], 1):
-            out = F.when(index == i, v.column.cast(dtype)) if out is None else out.when(index == i, v.column.cast(dtype))
-        return Value(out.otherwise(column) if out is not None else column, dtype)
-    values = [compiler.value(p) for p in parts]
+    values = same_type([compiler.value(p) for p in parts])
     dtype = next((v.dtype for v in values if not isinstance(v.dtype, T.NullType)), T.StringType())
+    if all(map(_is_plain, parts)) and len(parts) > CASE_VALUES:
+        return Value(F.element_at(F.array(*(v.column.cast(dtype) for v in values)), index + 1), dtype)
     column, error = None, None
+    for i, v in enumerate(values[1:], 1):
+        part = v.column.cast(dtype) if isinstance(v.dtype, T.NullType) else v.column
+        column = F.when(index == i, part) if column is None else column.when(index == i, part)
+    first = values[0].column.cast(dtype) if isinstance(values[0].dtype, T.NullType) else values[0].column
     for i, v in enumerate(values):
-        column = F.when(index == i, v.column) if column is None else column.when(index == i, v.column)
         if v.error is not None:
             error = F.when(index == i, v.error) if error is None else error.when(index == i, v.error)
-    return Value(column, dtype, error)
+    return Value(first if column is None else column.otherwise(first), dtype, error)
+
+
+def judged(ruleset: RuleSet, fields: dict[str, Value], schema: T.StructType, stage, functions: Any) -> tuple[Column, dict[str, Column], Column | None]:
+    """The number of the rule that fired, the outputs of ``schema``, and what failed (None: nothing can).
+
+    ``stage`` names expressions, given as (name, expression, type), and returns
+    what later expressions call them by. Columns and SQL text both go this way.
+    """
+    F, types = functions, {f.name: f.dataType for f in schema}
+    compiler = Compiler(ruleset, fields, functions=F)
+    (fired,) = stage([("fired", compiler.fired(), T.IntegerType())])
+    values = {o.name: _table_value(ruleset, o.name, compiler, fired) for o in ruleset.outputs if o.name not in ruleset.derived}
+    failed = [F.when(v.error.isNotNull(), F.concat(F.lit(f"{n}: "), v.error)) for n, v in values.items() if v.error is not None]
+    named = stage([(f"out_{n}", v.column, v.dtype) for n, v in values.items()])
+    ready = {n: Value(x, T.StringType() if isinstance(v.dtype, T.NullType) else v.dtype) for (n, v), x in zip(values.items(), named)}
+    used = {name for part in ruleset.derived.values() for name in _outputs_in(part)}
+    for name, part in ruleset.derived.items():
+        value = Compiler(ruleset, fields, ready, F).value(part)
+        if name in used:  # written once, however often later outputs use it
+            (column,) = stage([(f"out_{name}", value.column, value.dtype)])
+            ready[name] = Value(column, T.StringType() if isinstance(value.dtype, T.NullType) else value.dtype)
+        else:
+            ready[name] = value
+        if value.error is not None:
+            failed.append(F.when(value.error.isNotNull(), F.concat(F.lit(f"{name}: "), value.error)))
+    final = {}
+    for name, target in types.items():
+        value = ready.get(name) or Value(F.lit(None).cast("string"), T.StringType())
+        final[name] = coerce(value.column, value.dtype, target).cast(target)
+        if isinstance(target, (T.IntegralType, T.DecimalType, T.FloatType)) and target != value.dtype:
+            # a text that is no number is null, but a number that the type can't hold is an error
+            lost = to_number(value.column, value.dtype).isNotNull() & final[name].isNull()
+            failed.append(F.when(lost, F.lit(f"{name}: can't be read as {target.simpleString()}")))
+    if not failed:
+        return fired, final, None
+    (error,) = stage([("error", F.coalesce(*failed), T.StringType())])
+    return fired, final, error
+
+
+def _outputs_in(part: Any) -> set[str]:
+    """Outputs that a value refers to; names in templates may be inputs as well."""
+    found = {node["output"] for node in walk(part) if "output" in node}
+    for node in walk(part):
+        found |= set(re.findall(r"\{(\w+)\}", node.get("template") or "")) if isinstance(node.get("template"), str) else set()
+    return found
 
 
 def solve_native(
@@ -156,58 +197,39 @@ def solve_native(
     on_error: str,
     error_column: str,
     matched_column: str | None,
-    strategy: str,
 ) -> DataFrame:
     """The rule set as projections: which rule fired, the table's outputs, derived outputs, coercion."""
     kept = kept_columns(df, [*schema.fieldNames(), *([matched_column] if matched_column else [])], on_conflict, error_column)
     types = {f.name: f.dataType for f in schema}
     same = _same(df)
     earlier = next((c for c in df.columns if same(c) == same(error_column)), None)
-    compiler = Compiler(ruleset, _inputs(df, ruleset, mapping, on_missing_input))
-    fired = df.select("*", _index_column(ruleset, compiler, strategy).alias("__fired"))
-    values, errors = {}, []
-    for output in ruleset.outputs:
-        if output.name not in ruleset.derived:
-            values[output.name] = _table_value(ruleset, output.name, compiler, F.col("__fired"))
-    staged = fired.select("*", *(v.column.alias(f"__out_{n}") for n, v in values.items()))
-    errors = [F.when(v.error.isNotNull(), F.concat(F.lit(f"{n}: "), v.error)) for n, v in values.items() if v.error is not None]
-    ready = {n: Value(quoted(f"__out_{n}"), v.dtype) for n, v in values.items()}
-    for name, part in ruleset.derived.items():
-        value = Compiler(ruleset, compiler.fields, ready).value(part)
-        uses = [node for node in walk(part) if "output" in node] or "template" in str(part)
-        if uses:
-            staged = staged.select("*", value.column.alias(f"__out_{name}"))
-            ready[name] = Value(quoted(f"__out_{name}"), value.dtype)
-        else:
-            ready[name] = value
-        if value.error is not None:
-            errors.append(F.when(value.error.isNotNull(), F.concat(F.lit(f"{name}: "), value.error)))
-    final, failed = {}, list(errors)
-    for name in schema.fieldNames():
-        value = ready.get(name) or Value(F.lit(None).cast("string"), T.StringType())
-        final[name] = coerce(value.column, value.dtype, types[name]).cast(types[name])
-        if isinstance(types[name], (T.IntegralType, T.DecimalType, T.FloatType)) and types[name] != value.dtype:
-            # a text that is no number is null, but a number that the type can't hold is an error
-            lost = to_number(value.column, value.dtype).isNotNull() & final[name].isNull()
-            failed.append(F.when(lost, F.lit(f"{name}: can't be read as {types[name].simpleString()}")))
-    error = F.coalesce(*failed) if failed else F.lit(None).cast("string")
-    marked = staged.withColumn("__error", error.cast("string")) if failed else staged.withColumn("__error", F.lit(None).cast("string"))
-    own = F.col("__error")
+    mark = "__"
+    while any(c.lower().startswith(mark) for c in df.columns):  # names that no column has
+        mark += "_"
+    staged = df
+
+    def stage(made: list[tuple[str, Column, T.DataType]]) -> list[Column]:
+        nonlocal staged
+        staged = staged.select("*", *(x.cast(t if not isinstance(t, T.NullType) else "string").alias(mark + n) for n, x, t in made))
+        return [quoted(mark + n) for n, _, _ in made]
+
+    fired, final, own = judged(ruleset, _inputs(df, ruleset, mapping, on_missing_input), schema, stage, F)
 
     def guarded(column: Column, dtype: T.DataType) -> Column:
-        if not failed:
+        if own is None:
             return column
         # only a row that failed reaches raise_error, in whichever output is read
         bad = F.raise_error(F.concat(F.lit("RuleExecutionError: "), own)).cast(dtype) if on_error == "raise" else F.lit(None).cast(dtype)
         return F.when(own.isNotNull(), bad).otherwise(column)
 
-    text = own if earlier is None else F.coalesce(quoted(earlier).cast("string"), own)
+    told = F.lit(None).cast("string") if own is None else own
+    text = told if earlier is None else F.coalesce(quoted(earlier).cast("string"), told)
     columns = [quoted(c) for c in kept] + [guarded(final[n], types[n]).alias(n) for n in final]
     if matched_column:
-        columns.append(F.when(F.col("__fired") > 0, F.col("__fired")).alias(matched_column))
-    if on_error == "raise" and failed:
+        columns.append(F.when(fired > 0, fired).alias(matched_column))
+    if on_error == "raise":
         text = guarded(text, T.StringType())
-    return marked.select(*columns, text.alias(error_column))
+    return staged.select(*columns, text.alias(error_column))
 
 
 def solve(
@@ -230,7 +252,6 @@ def solve(
     rules: Registry | None = None,
     error_column: str = ERROR_COLUMN,
     matched_column: str | None = None,
-    strategy: str = "auto",
 ) -> DataFrame:
     """``df`` with the rule's outputs appended, and a text of what failed, if anything, last.
 
@@ -251,11 +272,8 @@ def solve(
     already is merged: the first error stays. ``output_schema`` types the
     outputs; a value that does not fit is null, with an error.
     ``matched_column`` adds the number of the rule that fired, null for none.
-    ``strategy``: ``case``, ``vectorized`` (for wide tables), or ``auto``.
     """
     check_arguments(batch_size, max_concurrent_requests_per_partition, on_conflict, on_missing_input, on_error, max_retries, timeout_seconds)
-    if strategy not in ("auto", "case", "vectorized"):
-        raise ValueError(f"strategy must be auto, case or vectorized, not {strategy!r}")
     mapping = check_mapping(df, input_mapping)
     ruleset = rule if isinstance(rule, RuleSet) else None
     if ruleset is None and (evaluator is None or output_schema is None):
@@ -270,7 +288,7 @@ def solve(
     if auto_repartition:
         df = spread_out(df)
     if evaluator is None:
-        return solve_native(df, ruleset, mapping, schema, on_conflict, on_missing_input, on_error, error_column, matched_column, strategy)
+        return solve_native(df, ruleset, mapping, schema, on_conflict, on_missing_input, on_error, error_column, matched_column)
     kept = kept_columns(df, schema.fieldNames(), on_conflict, error_column)
     name = ruleset.name if ruleset else rule
     wanted = [f.name for f in ruleset.inputs] if ruleset else None

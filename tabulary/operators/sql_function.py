@@ -9,17 +9,15 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..errors import RuleEngineError
+from ..errors import SchemaConflictError
 from ..functions.coerce import payload_value
+from ..plans.compiler import Value
 from ..plans.rules import Registry, RuleSet, registry
-from ..rule_types import kind_of
+from ..plans.sqltext import Staged, Text, name_text, text_functions
+from ..rule_types import kind_of, spark_type
 from ..shipping import ship
 from .batched import Calls, RuleEvaluator, judge_rows
-from .solve import ERROR_COLUMN
-
-
-def _sql_type(kind: str) -> str:
-    return {"number": "DOUBLE", "boolean": "BOOLEAN", "date": "TIMESTAMP"}.get(kind, "STRING")
+from .solve import ERROR_COLUMN, judged, typed_input
 
 
 def register_udf(
@@ -41,7 +39,7 @@ def register_udf(
     on any table that has the rule's inputs, and gives a struct of the outputs
     and the error column. Evaluators are called from a pandas UDF, marked
     nondeterministic so that Spark calls it once however often it is used.
-    Without one, see :func:`register_native`, which SQL can optimise.
+    Without one, rows are judged in Python; see :func:`register_native`, which SQL can optimise.
     """
     for what, value in (("name", name), ("rule", rule if not isinstance(rule, RuleSet) else rule.name)):
         if not isinstance(value, str) or not value.strip():
@@ -74,137 +72,43 @@ def register_native(
     rule: str | RuleSet,
     *,
     rules: Registry | None = None,
+    input_types: dict[str, T.DataType] | None = None,
+    output_schema: T.StructType | None = None,
     error_column: str = ERROR_COLUMN,
 ) -> tuple[T.StructType, str]:
     """Register ``name(input, ..)`` as a SQL function that Spark inlines.
 
     Returns the value's type and the text of a call with the rule's inputs as
-    columns. The outputs and the error are those of ``solve``. Lists and
-    objects have no form in it and are refused.
+    columns. The expressions are those of ``solve``, from the same compiler:
+    outputs, errors, defaults and coercions are the same. SQL converts arguments
+    to the function's types, which follow the inputs' kinds unless
+    ``input_types`` names the columns' own; an integer beyond 2^53, say, is only
+    told from its neighbours as a bigint.
     """
     ruleset = rule if isinstance(rule, RuleSet) else (rules or registry).get(rule)
     if not isinstance(name, str) or not name.replace("_", "a").isalnum():
         raise ValueError(f"not a name for a function: {name!r}")
-    body = sql_text(ruleset)
-    args = ", ".join(f"`{f.name}` {_sql_type(f.kind)}" for f in ruleset.inputs)
-    fields = ", ".join(f"`{o.name}`: {o.type.simpleString()}" for o in ruleset.outputs)
-    spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION `{name}`({args}) RETURNS STRUCT<{fields}, `{error_column}`: STRING> RETURN {body}")
-    call = f"`{name}`({', '.join(f'`{f.name}`' for f in ruleset.inputs)})"
-    result = T.StructType([*ruleset.schema, T.StructField(error_column, T.StringType(), True)])
-    return result, call
-
-
-def _literal(x: Any) -> str:
-    if x is None:
-        return "NULL"
-    if isinstance(x, bool):
-        return "true" if x else "false"
-    if isinstance(x, (int, float)):
-        return f"{float(x)!r}D"
-    return "'" + str(x).replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
-def _value(part: Any, outputs: dict[str, str]) -> str:
-    if not isinstance(part, dict):
-        return _literal(part)
-    if set(part) == {"field"}:
-        return f"`{part['field']}`"
-    if set(part) == {"output"}:
-        return outputs[part["output"]]
-    if "condition" in part:
-        return f"coalesce({_condition(part['condition'], outputs)}, false)"
-    if "if" in part:
-        return f"CASE WHEN {_condition(part['if'], outputs)} THEN {_value(part['then'], outputs)} ELSE {_value(part.get('else'), outputs)} END"
-    number = lambda p: f"CAST({_value(p, outputs)} AS DOUBLE)"
-    for name, call in (("add", "try_add"), ("subtract", "try_subtract"), ("multiply", "try_multiply"), ("divide", "try_divide")):
-        if set(part) == {name}:
-            out = number(part[name][0])
-            for p in part[name][1:]:
-                out = f"{call}({out}, {number(p)})"
-            return out
-    for name, call in (("min", "least"), ("max", "greatest")):
-        if set(part) == {name}:
-            args = [number(p) for p in part[name]]
-            return f"CASE WHEN {' AND '.join(f'{a} IS NOT NULL' for a in args)} THEN {call}({', '.join(args)}) END" if len(args) > 1 else args[0]
-    if "template" in part:
-        import re
-
-        pieces = [f"coalesce(CAST({outputs.get(p[1:-1], f'`{p[1:-1]}`')} AS STRING), '')" if re.fullmatch(r"\{\w+\}", p) else _literal(p) for p in re.split(r"(\{\w+\})", part["template"]) if p]
-        return f"concat({', '.join(pieces)})"
-    raise RuleEngineError(f"SQL functions have no form for {part}")
-
-
-def _condition(part: dict, outputs: dict[str, str]) -> str:
-    for name, word in (("all", " AND "), ("any", " OR ")):
-        if name in part:
-            return "(" + (word.join(_condition(p, outputs) for p in part[name]) or ("true" if name == "all" else "false")) + ")"
-    if "not" in part:
-        return f"(NOT {_condition(part['not'], outputs)})"
-    left = f"`{part['field']}`" if "field" in part else outputs[part["output"]]
-    op, right = part["op"], part.get("value")
-    if op in ("is null", "is not null"):
-        return f"({left} {op.upper()})"
-    if op in ("in", "not in"):
-        return f"({left} {op.upper()} ({', '.join(map(_literal, right))}))" if right else ("false" if op == "in" else "true")
-    if op == "between":
-        return f"({left} BETWEEN {_literal(right[0])} AND {_literal(right[1])})"
-    value = _value(right, outputs)
-    if op in ("contains", "starts with", "ends with"):
-        return f"{ {'contains': 'contains', 'starts with': 'startswith', 'ends with': 'endswith'}[op]}({left}, {value})"
-    if op == "matches":
-        return f"rlike({left}, {value})"
-    return f"({left} {'=' if op == '==' else '<>' if op == '!=' else op} {value})"
-
-
-def _fails(part: Any, outputs: dict[str, str]) -> str | None:
-    """Where making a value divides by zero, as a condition; None where nothing can."""
-    if not isinstance(part, dict):
-        return None
-    if "if" in part:
-        yes, no = _fails(part["then"], outputs), _fails(part.get("else"), outputs)
-        return f"CASE WHEN {_condition(part['if'], outputs)} THEN {yes or 'false'} ELSE {no or 'false'} END" if yes or no else None
-    for name in ("add", "subtract", "multiply", "divide", "min", "max"):
-        if set(part) == {name}:
-            found = [f for f in (_fails(p, outputs) for p in part[name]) if f]
-            if name == "divide":
-                args = [f"CAST({_value(p, outputs)} AS DOUBLE)" for p in part[name]]
-                zero = " OR ".join(f"{x} = 0" for x in args[1:])
-                found.append(f"({' AND '.join(f'{x} IS NOT NULL' for x in args)} AND ({zero}))")
-            return "(" + " OR ".join(f"coalesce({f}, false)" for f in found) + ")" if found else None
-    return None
-
-
-def sql_text(ruleset: RuleSet) -> str:
-    """The rule set as one SQL expression over its inputs (numbers are doubles, NaN is null)."""
-    outputs: dict[str, str] = {}
-    failed: dict[str, str] = {}
-    conditions = [_condition(r.when, {}) for r in ruleset.rules]
-    for output in ruleset.outputs:
-        name = output.name
-        if name in ruleset.derived:
-            continue
-        parts = [*(r.then.get(name) for r in ruleset.rules), ruleset.default.get(name)]
-
-        def table(texts: list[str]) -> str:
-            whens = " ".join(f"WHEN {c} THEN {t}" for c, t in zip(conditions, texts))
-            return f"CASE {whens} ELSE {texts[-1]} END" if whens else texts[-1]
-
-        outputs[name] = table([_value(p, {}) for p in parts])
-        fails = [_fails(p, {}) for p in parts]
-        if any(fails):
-            failed[name] = table([f or "false" for f in fails])
-    for name, part in ruleset.derived.items():
-        if fails := _fails(part, outputs):
-            failed[name] = fails
-        outputs[name] = _value(part, outputs)
-    error = f"coalesce({', '.join(f"CASE WHEN {f} THEN {_literal(f'{n}: division by zero')} END" for n, f in failed.items())})" if failed else "CAST(NULL AS STRING)"
-    kept = lambda v: f"CASE WHEN {error} IS NULL THEN {v} END" if failed else v
-    fields = ", ".join(f"'{o.name}', CAST({kept(outputs.get(o.name, 'NULL'))} AS {o.type.simpleString()})" for o in ruleset.outputs)
-    text = f"named_struct({fields}, '{ERROR_COLUMN}', {error})"
-    for f in ruleset.inputs:
-        if f.kind == "number":
-            text = text.replace(f"`{f.name}`", f"nanvl(`{f.name}`, CAST(NULL AS DOUBLE))")
-    return text
+    schema = output_schema or ruleset.schema
+    for f in schema:
+        kind_of(f.dataType)
+    if error_column in schema.fieldNames():
+        raise SchemaConflictError(f"an output has the name of the error column, {error_column}")
+    taken = {f.name: (input_types or {}).get(f.name, spark_type(f.kind)) for f in ruleset.inputs}
+    steps = Staged(name)
+    typed = {f.name: typed_input(Text(name_text(f.name)), taken[f.name], f.kind, f.default) for f in ruleset.inputs}
+    read = steps.stage([(f"in_{n}", v.column, v.dtype) for n, v in typed.items()])
+    fields = {n: Value(x, v.dtype) for (n, v), x in zip(typed.items(), read)}
+    _, outputs, error = judged(ruleset, fields, schema, steps.stage, text_functions)
+    told = Text("CAST(NULL AS STRING)") if error is None else error
+    kept = {n: x if error is None else text_functions.when(error.isNull(), x) for n, x in outputs.items()}
+    result = T.StructType([*(T.StructField(f.name, f.dataType, True) for f in schema), T.StructField(error_column, T.StringType(), True)])
+    body = text_functions.struct(*(kept[f.name].cast(f.dataType).alias(f.name) for f in schema), told.alias(error_column))
+    parameters = ", ".join(f"{name_text(n)} {t.simpleString()}" for n, t in taken.items())
+    for statement in steps.functions(parameters, result.simpleString(), body.sql):
+        spark.sql(statement)
+    names = ", ".join(map(name_text, taken))
+    spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name_text(name)}({parameters}) RETURNS {result.simpleString()} RETURN {steps.call.replace('{}', names)}")
+    return result, f"{name_text(name)}({names})"
 
 
 def local_evaluator(ruleset: RuleSet) -> type[RuleEvaluator]:
@@ -218,4 +122,4 @@ def local_evaluator(ruleset: RuleSet) -> type[RuleEvaluator]:
     return Local
 
 
-__all__ = ["register_native", "register_udf", "local_evaluator", "sql_text"]
+__all__ = ["register_native", "register_udf", "local_evaluator"]

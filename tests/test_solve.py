@@ -1,5 +1,7 @@
+import datetime as dt
 import math
 import random
+from decimal import Decimal
 
 import pytest
 from pyspark.errors import PythonException
@@ -7,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabulary import Field, Output, Registry, Rule, RuleEngineError, RuleSet, SchemaConflictError, SchemaInferenceError, rulesets, solve
+from tabulary.operators import register_native
 from tabulary.operators.solve import spread_out
 from tabulary.plans.local import evaluate_row
 
@@ -120,7 +123,7 @@ def test_typed_outputs(spark):
 
 
 @pytest.mark.parametrize("bad", [
-    {"batch_size": 0}, {"batch_size": 1001}, {"max_concurrent_requests_per_partition": 0}, {"on_conflict": "x"}, {"on_missing_input": "x"}, {"on_error": "x"}, {"max_retries": -1}, {"timeout_seconds": 0}, {"strategy": "x"},
+    {"batch_size": 0}, {"batch_size": 1001}, {"max_concurrent_requests_per_partition": 0}, {"on_conflict": "x"}, {"on_missing_input": "x"}, {"on_error": "x"}, {"max_retries": -1}, {"timeout_seconds": 0},
 ])
 def test_arguments(spark, bad):
     with pytest.raises(ValueError):
@@ -172,28 +175,116 @@ def random_rules(rng):
     )
 
 
+def native(spark, df, rule, name="ways", **options):
+    """The rule as a SQL function, over the columns of ``df`` that it names."""
+    types = {f.name: f.dataType for f in df.schema if f.name in {i.name for i in rule.inputs}}
+    _, call = register_native(spark, name, rule, input_types=types, **options)
+    df.createOrReplaceTempView("ways_rows")
+    return spark.sql(f"SELECT *, {call} AS r FROM ways_rows").select(*df.columns, "r.*")
+
+
 @pytest.mark.parametrize("seed", range(6))
 def test_all_ways_agree(spark, seed):
-    """CASE, vectors and plain Python on the same rules and rows, nulls and NaN included."""
+    """Columns, SQL function and plain Python on the same rules and rows, nulls and NaN included."""
     rng = random.Random(seed)
     rule = random_rules(rng)
     pick = lambda *xs: rng.choice([None, *xs])
     rows = [(i, pick(0, 1, 2, 3, 9007199254740993), pick(-1.5, 0.0, 0.5, 2.0, math.nan), pick("a", "bb", "c", "", "d d"), pick(True, False)) for i in range(300)]
     df = spark.createDataFrame(rows, "id int, n bigint, x double, s string, b boolean")
-    by_case, by_vector = (sorted(map(tuple, solve(df, rule, strategy=s).select("id", "hit", "v", "_rule_error").collect())) for s in ("case", "vectorized"))
-    assert by_case == by_vector
-    for i, hit, v, error in by_case:
+    columns = ["id", "hit", "v", "t", "_rule_error"]
+    by_column, by_function = (sorted(map(tuple, made.select(*columns).collect())) for made in (solve(df, rule), native(spark, df, rule)))
+    assert by_column == by_function
+    for i, hit, v, _, error in by_column:
         want = evaluate_row(rule, dict(zip("nxsb", rows[i][1:])))
         assert error == want.get("error")
         if not error:
             assert hit == want["hit"] and (v == want["v"] or v == pytest.approx(want["v"]))
 
 
-def test_wide_table_choice(spark):
-    df = spark.createDataFrame([(50.0, 900.0), (1.0, 99999.0), (None, 1.0)], "quantity double, price double")
-    plan = lambda s: solve(df, rulesets.grid(), strategy=s)._jdf.queryExecution().executedPlan().toString()
-    assert "ArrowEvalPython" in plan("auto") and "Python" not in plan("case")
-    assert [r.cell for r in solve(df, rulesets.grid()).collect()] == [r.cell for r in solve(df, rulesets.grid(), strategy="case").collect()]
+def hard_conditions():
+    """Comparisons that are easily got wrong outside Spark's own expressions."""
+    field = lambda f, op, value=None: {"field": f, "op": op, "value": value}
+    return [
+        field("big", "==", 9007199254740993), field("big", ">", 9007199254740992), field("price", "==", 0.1), field("price", "between", [{"field": "low"}, {"multiply": [{"field": "low"}, 3]}]),
+        field("price", "<", {"field": "low"}), field("name", "matches", r"^\p{Lu}.*\d$"), field("name", "in", ["it's", "back\\slash", "Ü1"]), field("name", "not in", ["it's"]),
+        field("due", ">=", "2024-05-01"), field("due", "between", ["2024-01-01", "2024-02-01"]), field("flag", "==", True), field("low", "is null"), field("name", "contains", "'"),
+        {"not": {"any": [field("big", "is null"), field("name", "starts with", "it")]}}, field("code", "==", 7), field("big", "==", {"field": "big"}),
+    ]
+
+
+HARD = "id int, big bigint, price decimal(10,2), low double, name string, due date, flag boolean, code string"
+HARD_ROWS = [
+    (9007199254740993, 0.1, 0.05, "it's", "2024-05-01", True, "7"), (None, None, None, None, None, None, None), (9007199254740992, -5.0, math.nan, "back\\slash", "2024-01-15", False, "x"),
+    (1, 99.99, 40.0, "Ü1", "2023-12-31", None, None), (0, 0.0, 0.0, "é2", None, True, "7.0"), (-1, 12.34, 12.34, "", "2024-02-01", False, " 7 "),
+]
+
+
+def hard_rows(spark):
+    rows = [(i, b, None if p is None else Decimal(str(p)), w, n, None if d is None else dt.date.fromisoformat(d), f, c) for i, (b, p, w, n, d, f, c) in enumerate(HARD_ROWS)]
+    return spark.createDataFrame(rows, HARD)
+
+
+def hard_rule(conditions, spread=1):
+    """A rule per condition, repeated behind rules that never fire."""
+    never = [Rule({"field": "big", "op": "==", "value": -100 - k}, {"hit": -k, "label": "never"}) for k in range(spread)]
+    return RuleSet(
+        "hard", [Field("big", "number"), Field("price", "number"), Field("low", "number", default=5), Field("name"), Field("due", "date"), Field("flag", "boolean", default=False), Field("code", "number")],
+        [Output("hit", "number"), Output("label"), Output("ratio", "number")],
+        [*never, *(Rule(c, {"hit": 1000 + k, "label": f"rule {k}"}) for k, c in enumerate(conditions))], default={"hit": 0, "label": "none"},
+        derived={"ratio": {"divide": [{"output": "hit"}, {"field": "low"}]}},
+    )
+
+
+def test_hard_comparisons_agree(spark):
+    df = hard_rows(spark)
+    for k, condition in enumerate(hard_conditions()):
+        rule = hard_rule([condition])
+        columns = ["id", "hit", "label", "ratio", "_rule_error"]
+        assert sorted(map(tuple, solve(df, rule).select(*columns).collect())) == sorted(map(tuple, native(spark, df, rule).select(*columns).collect())), k
+    got = {r.id: r.hit for r in solve(df, hard_rule([{"field": "big", "op": "==", "value": 9007199254740993}])).collect()}
+    assert got == {0: 1000, 1: 0, 2: 0, 3: 0, 4: None, 5: 0}  # row 4 divides by zero
+
+
+@pytest.mark.parametrize("spread", [0, 99, 100, 101, 400])
+def test_the_size_of_a_table_changes_nothing(spark, spread):
+    df, conditions = hard_rows(spark), hard_conditions()
+    small = {r.id: (r.hit, r.label) for r in solve(df, hard_rule(conditions, 1)).collect()}
+    large = solve(df, hard_rule(conditions, spread), matched_column="rule")
+    assert {r.id: (r.hit, r.label) for r in large.collect()} == small
+    plan = large._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan
+    if spread == 101:
+        assert sorted(map(tuple, native(spark, df, hard_rule(conditions, spread)).select("id", "hit", "label").collect())) == sorted((i, *x) for i, x in small.items())
+
+
+def test_native_defaults_and_chains(spark):
+    """Defaults count, a text that is no number fails no job, and chained outputs stay short."""
+    chain = {"x0": {"field": "a"}} | {f"x{k}": {"add": [{"output": f"x{k - 1}"}, {"output": f"x{k - 1}"}]} for k in range(1, 13)}
+    rule = RuleSet("chain", [Field("a", "number", default=2), Field("t")], [Output(n, "number") for n in [*chain, "n"]], default={"n": {"field": "t"}}, derived=chain)
+    df = spark.createDataFrame([(1.0, "5"), (None, "nope"), (math.nan, None)], "a double, t string")
+    got = sorted(map(str, native(spark, df, rule).select("x0", "x12", "n").collect()))
+    assert got == sorted(map(str, solve(df, rule).select("x0", "x12", "n").collect()))
+    assert "x12=4096.0" in got[0] and "x0=2.0" in got[1]
+    assert len(spark.sql("DESCRIBE FUNCTION EXTENDED ways").toPandas().to_string()) < 20_000
+
+
+def test_values_of_several_types(spark):
+    """Branches of an output need not have one type."""
+    rule = RuleSet(
+        "mixed", [Field("a", "number")], [Output("s"), Output("n", "number")],
+        [Rule({"field": "a", "op": ">", "value": 1}, {"s": 1, "n": "7"}), Rule({"field": "a", "op": ">", "value": 0}, {"s": "n/a", "n": "x"})],
+        default={"s": True, "n": {"if": {"field": "a", "op": "is null"}, "then": "y", "else": 3}},
+    )
+    df = spark.createDataFrame([(2.0,), (0.5,), (-1.0,), (None,)], "a double")
+    want = [(2.0, "1.0", 7.0), (0.5, "n/a", None), (-1.0, "true", 3.0), (None, "true", None)]
+    for made in (solve(df, rule), native(spark, df, rule)):
+        assert [tuple(r) for r in made.select("a", "s", "n").collect()] == want
+
+
+def test_names_used_inside_may_be_columns(spark):
+    df = reports(spark).withColumn("__fired", F.lit("x")).withColumn("__out_priority", F.lit("y")).withColumn("__error", F.lit("z"))
+    got = solve(df, SIMPLE, matched_column="rule").where("report_id = 'R2'").collect()[0]
+    assert (got["__fired"], got["__out_priority"], got["__error"], got.priority, got.rule) == ("x", "y", "z", "P1", 1)
 
 
 def test_plan_prunes_and_pushes(spark, sf):
