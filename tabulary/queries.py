@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import rulesets
-from .operators import ERROR_COLUMN, local_evaluator, register_native, register_udf, solve
+from .operators import ERROR_COLUMN, RuleEvaluator, local_evaluator, register_native, register_udf, solve
 from .plans.rules import Field, Output, Rule, RuleSet
 from .sources import tables
 from .streaming.split import read_split, write_split
@@ -204,7 +204,10 @@ def _halves() -> RuleSet:
 
 def stream_dead_letter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A stream of events scored; what fails goes to a place of its own."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="tabulary-")
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    base = base or "file://" + tempfile.mkdtemp(prefix="tabulary-")
     base = f"{base.rstrip('/')}/tabulary-{uuid.uuid4().hex}"
     schema = _read(spark, sf_dir, "events").schema
     stream = tables.file_stream(spark, f"{sf_dir}/event[s].parquet", schema).select("event_id", "value")
@@ -242,11 +245,83 @@ def missing_default(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def wide_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A table of 200 rules, judged in vectors."""
+    """A table of 200 rules."""
     scored = solve(_read(spark, sf_dir, "lineitem"), rulesets.grid(), input_mapping={"l_quantity": "quantity", "l_extendedprice": "price"})
     return scored.select("l_orderkey", "l_linenumber", "cell")
 
 
+def _never(n: int) -> list[Rule]:
+    """Rules that no row fires, to make a table wide."""
+    return [Rule({"all": [{"field": "key", "op": "<", "value": -k}, {"field": "key", "op": "is not null"}]}, {"cell": -k}) for k in range(n)]
+
+
+def wide_decimal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """More than 200 comparisons on decimals, among them for equality with a value that floats can't hold."""
+    cells = [Rule({"field": "price", "op": "==", "value": 0.1}, {"cell": 1}), Rule({"field": "price", "op": "<", "value": 0.5}, {"cell": 2}), Rule({"field": "price", "op": "between", "value": [1000.25, 2000]}, {"cell": 3})]
+    rule = RuleSet("decimals", [Field("key", "number"), Field("price", "number")], [Output("cell", "number")], [*_never(100), *cells], default={"cell": 0})
+    price = F.when(F.col("l_orderkey") % 7 == 0, F.col("l_discount")).otherwise(F.col("l_extendedprice")).cast("decimal(10,2)")
+    rows = _read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_orderkey").alias("key"), price.alias("price"))
+    return solve(rows, rule).select("l_orderkey", "l_linenumber", "cell")
+
+
+def wide_operands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A wide table whose comparisons have fields, arithmetic, dates, patterns and large integers on the right."""
+    field = lambda f, op, value: {"field": f, "op": op, "value": value}
+    cells = [
+        Rule(field("total", "between", [{"field": "low"}, {"multiply": [{"field": "low"}, 1.5]}]), {"cell": 1}), Rule(field("day", "<", "1995-06-01"), {"cell": 2}),
+        Rule(field("priority", "matches", r"^\d-\p{Lu}+$"), {"cell": 3}), Rule(field("huge", "==", 9007199254740993), {"cell": 4}), Rule(field("total", ">", {"add": [{"field": "low"}, 100_000]}), {"cell": 5}),
+    ]
+    rule = RuleSet("operands", [Field("key", "number"), Field("total", "number"), Field("low", "number"), Field("day", "date"), Field("priority"), Field("huge", "number")], [Output("cell", "number")], [*_never(60), *cells], default={"cell": 0})
+    huge = F.when(F.col("o_orderkey") % 3 > 0, F.lit(9007199254740992) + F.col("o_orderkey") % 3 - 1)
+    rows = _read(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderkey").alias("key"), F.col("o_totalprice").alias("total"), (F.col("o_custkey") * 100.0).alias("low"), F.col("o_orderdate").alias("day"), F.col("o_orderpriority").alias("priority"), huge.alias("huge"))
+    return solve(rows, rule).select("o_orderkey", "cell")
+
+
+def native_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A SQL function with defaults, field operands and chained outputs; a text that is no number fails no job."""
+    rule = RuleSet(
+        "native", [Field("amount", "number", default=7), Field("low", "number"), Field("text")], [Output("band"), Output("twice", "number"), Output("more", "number"), Output("read", "number")],
+        [Rule({"field": "amount", "op": "between", "value": [{"field": "low"}, 400]}, {"band": "mid", "read": {"field": "text"}}), Rule({"field": "amount", "op": "in", "value": [7]}, {"band": "it's"})],
+        default={"band": "none"}, derived={"twice": {"add": [{"field": "amount"}, {"field": "amount"}]}, "more": {"divide": [{"output": "twice"}, {"subtract": [{"field": "low"}, 3]}]}},
+    )
+    _, call = register_native(spark, "native_rule", rule)
+    rows = _read(spark, sf_dir, "events").select("event_id", F.when(F.col("event_id") % 3 > 0, F.col("value")).alias("amount"), (F.col("event_id") % 100).cast("double").alias("low"), F.concat(F.col("event_id") % 5, F.when(F.col("event_id") % 2 == 0, "x").otherwise("")).alias("text"))
+    rows.createOrReplaceTempView("tabulary_native")
+    return spark.sql(f"SELECT event_id, r.band, r.twice, round(r.more, 6) AS more, r.read, r.{ERROR_COLUMN} FROM (SELECT event_id, {call} AS r FROM tabulary_native)")
+
+
+class _Odd(RuleEvaluator):
+    """Answers of every shape: too short, objects, nulls, errors of a row, a batch that fails."""
+
+    def evaluate(self, rule, rows):
+        out = []
+        for row in rows:
+            k = int(row["key"])
+            if k == 13:
+                raise ValueError("no thirteen")
+            out.append(None if k % 4 == 1 else {"error": "odd"} if k % 4 == 3 else type("Result", (), {"__init__": lambda self, k=k: setattr(self, "level", k * 2)})())
+        return out[:-1] if len(out) == 1 and int(rows[0]["key"]) == 24 else out
+
+
+def odd_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows judged one at a time by an evaluator that misbehaves."""
+    rule = RuleSet("odd", [Field("key", "number")], [Output("level", "number")])
+    scored = solve(_read(spark, sf_dir, "nation"), rule, evaluator=_Odd, input_mapping={"n_nationkey": "key"}, batch_size=1, max_retries=0)
+    return scored.select("n_nationkey", "level", ERROR_COLUMN)
+
+
+def raise_when_fine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where nothing fails and no column is replaced, the strict modes give the same rows."""
+    fine = _read(spark, sf_dir, "events").where("event_id >= 100").select("event_id", "value")
+    return solve(fine, _halves(), on_error="raise", on_conflict="error", on_missing_input="error").select("event_id", F.round("ratio", 9).alias("ratio"), "size")
+
+
+def mixed_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An output whose branches are of several types."""
+    rule = RuleSet("mixed", [Field("r_regionkey", "number")], [Output("s"), Output("n", "number")], [Rule({"field": "r_regionkey", "op": ">", "value": 2}, {"s": "n/a", "n": "7"}), Rule({"field": "r_regionkey", "op": ">", "value": 1}, {"s": True, "n": "x"})], default={"s": {"field": "r_regionkey"}, "n": 3})
+    return solve(_read(spark, sf_dir, "region").select("r_regionkey"), rule).select("r_regionkey", "s", "n")
+
+
 def generated_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Transactions made from a range of ids, as a load test makes them."""
     kinds = F.array(*map(F.lit, ("purchase", "signup", "view")))
@@ -259,7 +334,7 @@ def generated_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     triage_summary, triage_rows, triage_high_priority, triage_top, triage_audit, event_action, collision_overwrite, input_mapping,
     coerce_number_bool, coerce_date, typed_outputs, sql_function, sql_udf, batched_parity, stream_dead_letter, error_isolation,
-    chained_rules, missing_default, wide_table, generated_rows,
+    chained_rules, missing_default, wide_table, wide_decimal, wide_operands, native_defaults, odd_responses, raise_when_fine, mixed_values, generated_rows,
 )}
 
 _BALANCE = """
@@ -310,6 +385,23 @@ WITH cells AS (SELECT i, 50 - i % 50 AS q, 1000 + 250 * i AS p FROM range(200) t
 hits AS (SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice, row_number() OVER () AS k FROM lineitem)
 SELECT any_value(l_orderkey) AS l_orderkey, any_value(l_linenumber) AS l_linenumber, CAST(coalesce(min(i), -1) AS DOUBLE) AS cell
 FROM hits LEFT JOIN cells ON l_quantity >= q AND l_extendedprice < p GROUP BY k""",
+    "wide_decimal": """
+SELECT l_orderkey, l_linenumber, CAST(CASE WHEN p = 0.10 THEN 1 WHEN p < 0.5 THEN 2 WHEN p BETWEEN 1000.25 AND 2000 THEN 3 ELSE 0 END AS DOUBLE) AS cell
+FROM (SELECT *, CAST(CASE WHEN l_orderkey % 7 = 0 THEN l_discount ELSE l_extendedprice END AS DECIMAL(10, 2)) AS p FROM lineitem)""",
+    "wide_operands": """
+SELECT o_orderkey, CAST(CASE WHEN o_totalprice BETWEEN o_custkey * 100.0 AND o_custkey * 150.0 THEN 1 WHEN o_orderdate < DATE '1995-06-01' THEN 2 WHEN regexp_matches(o_orderpriority, '^[0-9]-[A-Z]+$') THEN 3
+  WHEN o_orderkey % 3 = 2 THEN 4 WHEN o_totalprice > o_custkey * 100.0 + 100000 THEN 5 ELSE 0 END AS DOUBLE) AS cell FROM orders""",
+    "native_defaults": """
+SELECT event_id, CASE WHEN NOT bad THEN band END AS band, CASE WHEN NOT bad THEN 2 * amount END AS twice, CASE WHEN NOT bad THEN round(2 * amount / (low - 3), 6) END AS more,
+       CASE WHEN NOT bad AND band = 'mid' AND event_id % 2 = 1 THEN CAST(event_id % 5 AS DOUBLE) END AS "read", CASE WHEN bad THEN 'more: division by zero' END AS _rule_error
+FROM (SELECT *, low = 3 AS bad, CASE WHEN amount BETWEEN low AND 400 THEN 'mid' WHEN amount = 7 THEN 'it''s' ELSE 'none' END AS band
+      FROM (SELECT event_id, CASE WHEN event_id % 3 > 0 THEN value ELSE 7 END AS amount, CAST(event_id % 100 AS DOUBLE) AS low FROM events))""",
+    "odd_responses": """
+SELECT n_nationkey, CASE WHEN n_nationkey % 2 = 0 AND n_nationkey <> 24 THEN CAST(n_nationkey * 2 AS DOUBLE) END AS level,
+       CASE WHEN n_nationkey = 13 THEN 'ValueError: no thirteen' WHEN n_nationkey % 4 = 1 OR n_nationkey = 24 THEN 'missing_response_for_row' WHEN n_nationkey % 4 = 3 THEN 'odd' END AS _rule_error FROM nation""",
+    "raise_when_fine": "SELECT event_id, round(value / 2, 9) AS ratio, CASE WHEN value > 100 THEN 'large' ELSE 'small' END AS size FROM events WHERE event_id >= 100",
+    "mixed_values": """
+SELECT r_regionkey, CASE WHEN r_regionkey > 2 THEN 'n/a' WHEN r_regionkey > 1 THEN 'true' ELSE CAST(r_regionkey AS VARCHAR) END AS s, CASE WHEN r_regionkey > 2 THEN 7::DOUBLE WHEN r_regionkey > 1 THEN NULL ELSE 3::DOUBLE END AS n FROM region""",
     "generated_rows": """
 SELECT 'T-' || lpad(CAST(id AS VARCHAR), 6, '0') AS tx_id, kind, amount,
        CASE WHEN amount > 300 AND kind IN ('purchase', 'error') THEN 'block' WHEN amount BETWEEN 150 AND 300 OR (kind LIKE 'sign%' AND amount > 50) THEN 'review' ELSE 'allow' END AS action,

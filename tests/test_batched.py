@@ -5,7 +5,7 @@ import pytest
 from tabulary import Field, Output, RuleEvaluator, RuleSet, register_native, register_udf, rulesets, solve
 from tabulary.errors import RuleExecutionError
 from tabulary.operators import local_evaluator
-from tabulary.operators.batched import Calls, as_list, judge_rows, may_pass, with_retries
+from tabulary.operators.batched import Calls, judge_rows, may_pass, results_of, with_retries
 
 REPORT = "report_id string, financial_impact bigint, customer_harm boolean"
 
@@ -86,13 +86,25 @@ def test_responses():
         def model_dump(self):
             return {"a": 1}
 
+    class Broken:
+        """Methods that fail, or give no mapping, are passed over."""
+
+        def __init__(self):
+            self.b = 2
+
+        def model_dump(self):
+            raise TypeError
+
+        def dict(self):
+            return [1]
+
     class Wrapper:
         data = [{"x": 1}]
 
-    assert as_list(None) == [] and as_list({}) == [] and as_list({"only": 1}) == [{"only": 1}]
-    assert as_list([{"a": 1}, Item(), Model(), None, 3]) == [{"a": 1}, {"visible": "yes"}, {"a": 1}, None, None]
-    assert as_list(Wrapper()) == [{"x": 1}]
-    assert as_list({"data": [{"x": 1}]}) == [{"data": [{"x": 1}]}]
+    assert list(results_of(None)) == [] and list(results_of({})) == [] and list(results_of({"only": 1})) == [{"only": 1}]
+    assert list(results_of([{"a": 1}, Item(), Model(), Broken(), None, 3])) == [{"a": 1}, {"visible": "yes"}, {"a": 1}, {"b": 2}, None, None]
+    assert list(results_of(Wrapper())) == [{"x": 1}]
+    assert list(results_of({"data": [{"x": 1}]})) == [{"data": [{"x": 1}]}]
 
 
 class Http(Exception):
