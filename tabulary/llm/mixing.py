@@ -134,5 +134,5 @@ def apply_mix(docs: DataFrame, doc: str = "doc_id", text: str = "text", source:
     else:
         rows = rows.withColumn(place, F.lit(1))
     share = F.floor(F.col(copies) / F.col(many)) + F.when(F.col(place) <= F.col(copies) % F.col(many), 1).otherwise(0)
-    shared = rows.join(taken, key).select(*names, share.cast("int").alias(time)).where(F.col(time) > 0)
+    shared = rows.join(taken.hint("merge"), key).select(*names, share.cast("int").alias(time)).where(F.col(time) > 0)
     return shared.withColumn(time, F.explode(F.sequence(F.lit(1), F.col(time)))).select(*names)
