@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -168,5 +170,52 @@ SELECT conv_id, count(*) AS n_turns,
        sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '')) AS loss_sha256,
        CAST(sum(upto) FILTER (role = 'assistant' OR final) AS BIGINT) AS formatted_chars
 FROM run GROUP BY conv_id
+""",
+    "op1_line_dedup": r"""
+WITH cut AS (
+  SELECT doc_id, text, regexp_extract(text, '^[\x20\x09-\x0D]*') AS lead, regexp_extract_all(text, '[^\x20\x09-\x0D]+[\x20\x09-\x0D]*') AS pieces FROM documents
+), words AS (
+  SELECT doc_id, lead, p, pieces[p] AS piece, lower_az(regexp_replace(pieces[p], '[\x20\x09-\x0D]+$', '')) AS word FROM cut, unnest(range(1, len(pieces) + 1)) t(p)
+), placed AS (
+  SELECT *, coalesce(sum(length(piece) - length(replace(piece, chr(10), ''))) OVER (PARTITION BY doc_id ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS line FROM words
+), listed AS (
+  SELECT doc_id, list(word ORDER BY p) AS w FROM words GROUP BY doc_id
+), runs AS (
+  SELECT doc_id, k, md5(array_to_string(w[k:k + 49], ' ')) AS run FROM listed, unnest(range(1, len(w) - 48)) t(k)
+), later AS (
+  SELECT doc_id, k FROM (SELECT *, row_number() OVER (PARTITION BY run ORDER BY doc_id, k) AS r FROM runs) WHERE r > 1
+), gone AS (
+  SELECT DISTINCT doc_id, p FROM later, unnest(range(k, k + 50)) t(p)
+), marked AS (
+  SELECT w.*, g.p IS NOT NULL AS gone FROM placed w LEFT JOIN gone g ON w.doc_id = g.doc_id AND w.p = g.p
+), texts AS (
+  SELECT doc_id, any_value(lead) || coalesce(string_agg(piece, '' ORDER BY p) FILTER (NOT gone), '') AS text FROM marked GROUP BY doc_id
+), lines AS (
+  SELECT doc_id, count(*) AS n_lines, count(*) FILTER (whole) AS n_removed FROM (SELECT doc_id, line, bool_and(gone) AS whole FROM marked GROUP BY doc_id, line) GROUP BY doc_id
+)
+SELECT c.doc_id, coalesce(t.text, c.text) AS text, CAST(coalesce(n_lines, 0) AS BIGINT) AS n_lines, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed
+FROM cut c LEFT JOIN texts t ON c.doc_id = t.doc_id LEFT JOIN lines l ON c.doc_id = l.doc_id
+""",
+    "op6_decontaminate": r"""
+WITH docs AS (
+  SELECT doc_id, regexp_extract_all(lower_az(coalesce(text, '')), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), tests AS (
+  SELECT item_id, regexp_extract_all(lower_az(coalesce(text, '')), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+), windows AS (
+  SELECT DISTINCT item_id, array_to_string(w[k:k + least(10, len(w)) - 1], ' ') AS x, least(10, len(w)) AS n FROM tests, unnest(range(1, greatest(1, len(w) - 9) + 1)) t(k) WHERE len(w) > 0
+), runs AS (
+  SELECT doc_id, k, n, array_to_string(w[k:k + n - 1], ' ') AS x FROM docs, (SELECT DISTINCT n FROM windows), unnest(range(1, len(w) - n + 2)) t(k)
+), hits AS (
+  SELECT doc_id, k, runs.n, item_id FROM runs JOIN windows USING (x, n)
+), hit AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT DISTINCT doc_id, k, n FROM hits), unnest(range(k, k + n)) t(p) GROUP BY doc_id
+), items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS listed FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(listed, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM docs d LEFT JOIN hit h ON d.doc_id = h.doc_id LEFT JOIN items i ON d.doc_id = i.doc_id
 """,
 }
+
+#: A-Z as a-z, which DuckDB's lower() would do to other letters as well.
+ORACLE_SQL = {k: re.sub(r"lower_az\((.*)\)(?= AS|, ')", r"translate(\1, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')", v) for k, v in ORACLE_SQL.items()}
