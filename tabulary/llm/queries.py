@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -175,7 +173,7 @@ FROM run GROUP BY conv_id
 WITH cut AS (
   SELECT doc_id, text, regexp_extract(text, '^[\x20\x09-\x0D]*') AS lead, regexp_extract_all(text, '[^\x20\x09-\x0D]+[\x20\x09-\x0D]*') AS pieces FROM documents
 ), words AS (
-  SELECT doc_id, lead, p, pieces[p] AS piece, lower_az(regexp_replace(pieces[p], '[\x20\x09-\x0D]+$', '')) AS word FROM cut, unnest(range(1, len(pieces) + 1)) t(p)
+  SELECT doc_id, lead, p, pieces[p] AS piece, translate(regexp_replace(pieces[p], '[\x20\x09-\x0D]+$', ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS word FROM cut, unnest(range(1, len(pieces) + 1)) t(p)
 ), placed AS (
   SELECT *, coalesce(sum(length(piece) - length(replace(piece, chr(10), ''))) OVER (PARTITION BY doc_id ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS line FROM words
 ), listed AS (
@@ -198,9 +196,9 @@ FROM cut c LEFT JOIN texts t ON c.doc_id = t.doc_id LEFT JOIN lines l ON c.doc_i
 """,
     "op6_decontaminate": r"""
 WITH docs AS (
-  SELECT doc_id, regexp_extract_all(lower_az(coalesce(text, '')), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
 ), tests AS (
-  SELECT item_id, regexp_extract_all(lower_az(coalesce(text, '')), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
 ), windows AS (
   SELECT DISTINCT item_id, array_to_string(w[k:k + least(10, len(w)) - 1], ' ') AS x, least(10, len(w)) AS n FROM tests, unnest(range(1, greatest(1, len(w) - 9) + 1)) t(k) WHERE len(w) > 0
 ), runs AS (
@@ -216,6 +214,3 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
 FROM docs d LEFT JOIN hit h ON d.doc_id = h.doc_id LEFT JOIN items i ON d.doc_id = i.doc_id
 """,
 }
-
-#: A-Z as a-z, which DuckDB's lower() would do to other letters as well.
-ORACLE_SQL = {k: re.sub(r"lower_az\((.*)\)(?= AS|, ')", r"translate(\1, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')", v) for k, v in ORACLE_SQL.items()}
