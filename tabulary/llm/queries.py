@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, decontaminate, fingerprint, language_id, line_dedup, mixing, near_dup, quality, token_store, url_filter
+from . import chat_format, decontaminate, fingerprint, language_id, line_dedup, mixing, near_dup, oracles, quality, token_store, url_filter
 from .common import is_member, materialize, table
 
 URL_RULES = [
@@ -213,4 +213,6 @@ WITH docs AS (
 SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(listed, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
 FROM docs d LEFT JOIN hit h ON d.doc_id = h.doc_id LEFT JOIN items i ON d.doc_id = i.doc_id
 """,
+    "op4_near_dup": oracles.NEAR_DUP,
+    "op9_mixing": oracles.MIXING,
 }

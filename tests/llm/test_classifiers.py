@@ -1,3 +1,4 @@
+import re
 import zlib
 from collections import Counter
 
@@ -135,6 +136,45 @@ def test_quality_query(spark):
     assert np.mean([s >= 0.3 for s in good]) > 0.97 and np.mean([s >= 0.3 for s in bad]) < 0.3
 
 
+def kind(byte):
+    order = [byte == 0x0A, byte < 0x21, byte >= 0x80, 0x61 <= byte <= 0x7A, 0x41 <= byte <= 0x5A, 0x30 <= byte <= 0x39, byte in b",."]
+    return [1, 0, 7, 2, 3, 4, 5, 6][[*order, True].index(True)]
+
+
+def plain_features(text):
+    data = (text or "").encode()
+    out = [0.0] * ql.N_FEATURES
+    if not data:
+        return out
+    for byte in data:
+        out[min(byte, 128)] += 1 / len(data)
+    for a, b in zip(data, data[1:]):
+        out[129 + kind(a) * 8 + kind(b)] += 1 / len(data)
+    out[:193] = np.sqrt(out[:193])
+    own, lines = re.findall(rb"[^\x20\x09-\x0D]+", data.lower()), re.findall(rb"[^\n]*\n|[^\n]+$", data)
+    if own:
+        out[193], out[194] = len(set(own)) / len(own), len(set(own)) / np.sqrt(len(own)) / 20
+        out[195], out[196] = min(len(data) / len(own), 40) / 10, np.mean([a == b for a, b in zip(own, own[1:])] or [0])
+    out[197] = 1 - len(set(lines)) / len(lines)
+    out[198:] = np.log1p(len(own)) / 10, np.log1p(len(lines)) / 10, np.log1p(len(own) / len(lines)) / 5
+    return out
+
+
+def test_quality_scores_against_plain_numpy(spark):
+    """Features and score of every document and of the hard rows, from the fitted numbers alone."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    network = ql.fit(docs, spark.read.parquet("/root/testdata/sf0.001/labels.parquet"))
+    odd = [(-1, None), (-2, ""), (-3, " \n\n a a\tB9.,;é\n"), (-4, "one"), (-5, "x\ny\nx\ny"), (-6, "\x00\x1f~\x7f"), (-7, "word " * 50_000)]
+    rows = docs.unionByName(spark.createDataFrame(odd, "doc_id long, text string"))
+    got = {r.doc_id: r.score for r in ql.score(rows, network).collect()}
+    texts = {r.doc_id: r.text for r in rows.collect()}
+    assert got.keys() == texts.keys()
+    for i, text in texts.items():
+        x = np.clip((np.array(plain_features(text)) - network.mean) / network.scale, -8, 8)
+        z = sum(w * np.tanh(x @ column + b) for w, column, b in zip(network.w2, network.w1.T, network.b1)) + network.b2
+        assert got[i] == pytest.approx(1 / (1 + np.exp(-z)), abs=2e-5), i
+
+
 def test_non_negative_risk_separates_without_negatives():
     rng = np.random.default_rng(1)
     make = lambda n, shift: np.pad(rng.normal(shift, 1, (n, 4)), ((0, 0), (0, ql.N_FEATURES - 4)))

@@ -1,10 +1,13 @@
+from collections import Counter
+
 import corpus_pipeline as cp
 
 from tabulary.llm.common import materialize
 from tabulary.llm.queries import token_rows
 
-from .helpers import hard_docs, no_docs
+from .helpers import hard_docs, no_docs, words
 from .test_decontaminate import plain as contaminated
+from .test_mixing import plain_mix
 from .test_near_dup import plain as components
 
 
@@ -27,8 +30,10 @@ def test_stages(spark, sf):
     items = [tuple(r) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
     clean = {r[0] for r in contaminated(list(rows(after["near_dup"]).items()), items) if not r[5]}
     assert set(rows(after["decontaminate"])) == clean
-    mixed = after["mixing"].collect()
-    assert max(map(mixed.count, mixed[:20])) <= 3
+    left = after["decontaminate"].collect()
+    taken = plain_mix([(r.doc_id, r.source, len(words(r.text))) for r in left])
+    want = Counter({tuple(r): taken[r.doc_id] // len(words(r.text)) for r in left if taken[r.doc_id]})
+    assert Counter(map(tuple, after["mixing"].collect())) == want
     assert sorted(map(tuple, docs.collect())) == sorted(map(tuple, token_rows(after["mixing"]).collect()))
     assert sorted(map(tuple, cp.run(spark, sf).collect())) == sorted(map(tuple, docs.collect()))
 
