@@ -103,7 +103,8 @@ def _typed(column: Column, dtype: T.DataType, kind: str) -> Value:
     return Value(column, dtype)
 
 
-def _inputs(df: DataFrame, ruleset: RuleSet, mapping: dict[str, str], on_missing: str) -> dict[str, Value]:
+def typed_inputs(df: DataFrame, ruleset: RuleSet, mapping: dict[str, str], on_missing: str) -> dict[str, Value]:
+    """The rule's inputs by name, from the columns that the mapping or their names give them."""
     same = _same(df)
     by_field = {same(mapping.get(f.name, f.name)): f for f in df.schema}
     if on_missing == "error" and (missing := sorted(i.name for i in ruleset.inputs if same(i.name) not in by_field)):
@@ -213,7 +214,7 @@ def solve_native(
         staged = staged.select("*", *(x.cast(t if not isinstance(t, T.NullType) else "string").alias(mark + n) for n, x, t in made))
         return [quoted(mark + n) for n, _, _ in made]
 
-    fired, final, own = judged(ruleset, _inputs(df, ruleset, mapping, on_missing_input), schema, stage, F)
+    fired, final, own = judged(ruleset, typed_inputs(df, ruleset, mapping, on_missing_input), schema, stage, F)
 
     def guarded(column: Column, dtype: T.DataType) -> Column:
         if own is None:

@@ -2,21 +2,21 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from typing import Any
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..errors import SchemaConflictError
-from ..functions.coerce import payload_value
 from ..plans.compiler import Value
 from ..plans.rules import Registry, RuleSet, registry
 from ..plans.sqltext import Staged, Text, name_text, text_functions
 from ..rule_types import kind_of, spark_type
 from ..shipping import ship
-from .batched import Calls, RuleEvaluator, judge_rows
+from .batched import Calls, RuleEvaluator, judge_rows, output_column, payloads
 from .solve import ERROR_COLUMN, judged, typed_input
 
 
@@ -37,7 +37,8 @@ def register_udf(
 
     The function takes a struct of a row's columns, so ``name(struct(*))`` works
     on any table that has the rule's inputs, and gives a struct of the outputs
-    and the error column. Evaluators are called from a pandas UDF, marked
+    and the error column. Evaluators are called from an Arrow UDF, one client a task, so that large
+    integers next to nulls keep their digits. It is marked
     nondeterministic so that Spark calls it once however often it is used.
     Without one, rows are judged in Python; see :func:`register_native`, which SQL can optimise.
     """
@@ -57,12 +58,20 @@ def register_udf(
     calls = Calls(ruleset.name if ruleset else rule, evaluator, kinds, api_key=api_key, base_url=base_url, batch_size=batch_size, concurrency=1)
     ship(spark)
 
-    def judge(rows: pd.DataFrame) -> pd.DataFrame:
-        records = [{k: payload_value(v) for k, v in r.items()} for r in rows.to_dict("records")]
-        values, errors = judge_rows(calls, calls.start(), records)
-        return pd.DataFrame(values | {error_column: errors}, columns=[*values, error_column])
+    types = {f.name: f.dataType for f in schema}
+    zone = spark.conf.get("spark.sql.session.timeZone")
 
-    spark.udf.register(name, F.pandas_udf(judge, result).asNondeterministic())
+    def judge(rows: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        client = None
+        for part in rows:
+            client = client or calls.start()
+            names = [f.name for f in part.type]
+            batch = pa.RecordBatch.from_arrays(part.flatten(), names=names)
+            values, errors = judge_rows(calls, client, payloads(batch, {n: n for n in names}, zone))
+            made = [output_column(values[n], errors, n, types[n]) for n in types]
+            yield pa.StructArray.from_arrays([*made, pa.array(errors, pa.string())], names=[*types, error_column])
+
+    spark.udf.register(name, F.arrow_udf(judge, result).asNondeterministic())
     return result
 
 

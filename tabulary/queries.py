@@ -4,16 +4,18 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from types import SimpleNamespace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import rulesets
-from .operators import ERROR_COLUMN, RuleEvaluator, local_evaluator, register_native, register_udf, solve
-from .plans.rules import Field, Output, Rule, RuleSet
+from .operators import ERROR_COLUMN, RuleEvaluator, local_evaluator, outside_domain, register_native, register_udf, solve
+from .plans.definitions import loader
+from .plans.rules import Field, Output, Registry, Rule, RuleSet
 from .sources import tables
-from .streaming.split import read_split, write_split
+from .streaming.split import read_split, windowed_counts, write_split
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -202,13 +204,18 @@ def _halves() -> RuleSet:
     )
 
 
-def stream_dead_letter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A stream of events scored; what fails goes to a place of its own."""
+def _shared_folder(spark: SparkSession) -> str:
+    """A new folder that the driver and all executors reach."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base and not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     base = base or "file://" + tempfile.mkdtemp(prefix="tabulary-")
-    base = f"{base.rstrip('/')}/tabulary-{uuid.uuid4().hex}"
+    return f"{base.rstrip('/')}/tabulary-{uuid.uuid4().hex}"
+
+
+def stream_dead_letter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream of events scored; what fails goes to a place of its own."""
+    base = _shared_folder(spark)
     schema = _read(spark, sf_dir, "events").schema
     stream = tables.file_stream(spark, f"{sf_dir}/event[s].parquet", schema).select("event_id", "value")
     query = write_split(solve(stream, _halves()), f"{base}/good", f"{base}/failed", f"{base}/checkpoint")
@@ -322,6 +329,86 @@ def mixed_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     return solve(_read(spark, sf_dir, "region").select("r_regionkey"), rule).select("r_regionkey", "s", "n")
 
 
+class _Definitions:
+    """A folder of definitions, as a client library would show it: pages of objects."""
+
+    def list(self):
+        return SimpleNamespace(data=[SimpleNamespace(slug="ranking", id=7)])
+
+    def pull(self, id):
+        field = lambda key, kind: SimpleNamespace(key=key, type=kind)
+        return SimpleNamespace(requestSchema=[field("balance", "number")], responseSchema=[field("rank", "string"), field("half", "number"), field("positive", "boolean")])
+
+
+class _Ranking(RuleEvaluator):
+    """Out of order at its first call, as services are at times."""
+
+    calls = 0
+
+    def evaluate(self, rule, rows):
+        self.calls += 1
+        if self.calls == 1:
+            raise ConnectionError("503 temporarily unavailable")
+        return [{"rank": "high" if r["balance"] > 5000 else "low", "half": str(r["balance"] / 2), "positive": "yes" if r["balance"] > 0 else "no"} for r in rows]
+
+
+def stored_definition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Outputs told by a definition that is kept elsewhere, values by an evaluator that is asked again after a failure."""
+    scored = solve(_read(spark, sf_dir, "supplier").coalesce(1), "ranking", rules=Registry(load=loader(_Definitions())), evaluator=_Ranking, input_mapping={"s_acctbal": "balance"}, max_concurrent_requests_per_partition=1)
+    return scored.select("s_suppkey", "rank", F.round("half", 6).alias("half"), "positive", ERROR_COLUMN)
+
+
+def domain_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values that a rule does not expect, and how often they come."""
+    rule = RuleSet("segments", [Field("segment", values=("BUILDING", "MACHINERY")), Field("c_nationkey", "number", values=tuple(range(20))), Field("c_name")], [Output("o")])
+    return outside_domain(_read(spark, sf_dir, "customer"), rule, {"c_mktsegment": "segment"})
+
+
+class _NoRules:
+    def list(self):
+        return []
+
+    def pull(self, id):
+        raise KeyError(id)
+
+
+def refusals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is refused, and by which error: before anything runs, but for a row's own failure."""
+    events, nation = _read(spark, sf_dir, "events").select("event_id", "value"), _read(spark, sf_dir, "nation").select("n_nationkey")
+    named = RuleSet("named", [Field("x")], [Output("N_NATIONKEY")])
+    cases = {
+        "failed row": lambda: solve(events, _halves(), on_error="raise").agg(F.sum("ratio")).collect(),
+        "failed call": lambda: solve(nation.where("n_nationkey = 13"), RuleSet("odd", [Field("key", "number")], [Output("level")]), evaluator=_Odd, input_mapping={"n_nationkey": "key"}, on_error="raise").collect(),
+        "replaced column": lambda: solve(nation, named, on_conflict="error"),
+        "output named as errors": lambda: solve(nation, RuleSet("named", [], [Output(ERROR_COLUMN)])),
+        "missing input": lambda: solve(nation, named, on_missing_input="error"),
+        "unknown mode": lambda: solve(nation, named, on_error="ignore"),
+        "batch too large": lambda: solve(nation, named, batch_size=1001),
+        "mapping of no column": lambda: solve(nation, named, input_mapping={"nowhere": "x"}),
+        "unknown rule": lambda: solve(nation, "nobody", rules=Registry(load=loader(_NoRules()))),
+        "no outputs": lambda: RuleSet("none", [], []),
+        "unknown field": lambda: RuleSet("bad", [], [Output("o")], default={"o": {"field": "x"}}),
+    }
+    rows = []
+    for case, call in cases.items():
+        try:
+            call()
+            rows.append((case, "nothing"))
+        except Exception as error:  # noqa: BLE001  Spark wraps what executors raise
+            rows.append((case, "RuleExecutionError" if "RuleExecutionError" in str(error) else type(error).__name__))
+    return tables.rows(spark, rows, "what string, error string")
+
+
+def stream_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream's events counted by day and kind; late ones are waited for an hour."""
+    events = tables.file_stream(spark, f"{sf_dir}/event[s].parquet", _read(spark, sf_dir, "events").schema)
+    base = _shared_folder(spark)
+    counts = windowed_counts(events, "ts", "event_type", "1 day", "1 hour").select(F.date_format("window.start", "yyyy-MM-dd").alias("day"), "event_type", "n")
+    writer = counts.writeStream.foreachBatch(lambda batch, _: batch.write.mode("overwrite").parquet(f"{base}/counts")).outputMode("complete")
+    writer.option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{base}/counts")
+
+
 def generated_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Transactions made from a range of ids, as a load test makes them."""
     kinds = F.array(*map(F.lit, ("purchase", "signup", "view")))
@@ -334,7 +421,8 @@ def generated_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     triage_summary, triage_rows, triage_high_priority, triage_top, triage_audit, event_action, collision_overwrite, input_mapping,
     coerce_number_bool, coerce_date, typed_outputs, sql_function, sql_udf, batched_parity, stream_dead_letter, error_isolation,
-    chained_rules, missing_default, wide_table, wide_decimal, wide_operands, native_defaults, odd_responses, raise_when_fine, mixed_values, generated_rows,
+    chained_rules, missing_default, wide_table, wide_decimal, wide_operands, native_defaults, odd_responses, raise_when_fine, mixed_values,
+    stored_definition, domain_report, refusals, stream_windows, generated_rows,
 )}
 
 _BALANCE = """
@@ -402,6 +490,16 @@ SELECT n_nationkey, CASE WHEN n_nationkey % 2 = 0 AND n_nationkey <> 24 THEN CAS
     "raise_when_fine": "SELECT event_id, round(value / 2, 9) AS ratio, CASE WHEN value > 100 THEN 'large' ELSE 'small' END AS size FROM events WHERE event_id >= 100",
     "mixed_values": """
 SELECT r_regionkey, CASE WHEN r_regionkey > 2 THEN 'n/a' WHEN r_regionkey > 1 THEN 'true' ELSE CAST(r_regionkey AS VARCHAR) END AS s, CASE WHEN r_regionkey > 2 THEN 7::DOUBLE WHEN r_regionkey > 1 THEN NULL ELSE 3::DOUBLE END AS n FROM region""",
+    "stored_definition": """
+SELECT s_suppkey, CASE WHEN s_acctbal > 5000 THEN 'high' ELSE 'low' END AS rank, round(s_acctbal / 2, 6) AS half, s_acctbal > 0 AS positive, CAST(NULL AS VARCHAR) AS _rule_error FROM supplier""",
+    "domain_report": """
+SELECT 'segment' AS field, c_mktsegment AS value, count(*) AS n FROM customer WHERE c_mktsegment NOT IN ('BUILDING', 'MACHINERY') GROUP BY 2
+UNION ALL SELECT 'c_nationkey', CAST(c_nationkey AS VARCHAR), count(*) FROM customer WHERE c_nationkey NOT BETWEEN 0 AND 19 GROUP BY 2""",
+    "refusals": """
+SELECT * FROM (VALUES ('failed row', 'RuleExecutionError'), ('failed call', 'RuleExecutionError'), ('replaced column', 'SchemaConflictError'), ('output named as errors', 'SchemaConflictError'),
+  ('missing input', 'ValueError'), ('unknown mode', 'ValueError'), ('batch too large', 'ValueError'), ('mapping of no column', 'ValueError'), ('unknown rule', 'SchemaInferenceError'),
+  ('no outputs', 'SchemaInferenceError'), ('unknown field', 'RuleEngineError')) t(what, error)""",
+    "stream_windows": "SELECT strftime(ts, '%Y-%m-%d') AS day, event_type, count(*) AS n FROM events GROUP BY 1, 2",
     "generated_rows": """
 SELECT 'T-' || lpad(CAST(id AS VARCHAR), 6, '0') AS tx_id, kind, amount,
        CASE WHEN amount > 300 AND kind IN ('purchase', 'error') THEN 'block' WHEN amount BETWEEN 150 AND 300 OR (kind LIKE 'sign%' AND amount > 50) THEN 'review' ELSE 'allow' END AS action,
